@@ -74,12 +74,12 @@ def serve_wish(spark, folder):
 
 
 MIXED = f"""
-    SELECT uid, mid, other AS rec_mid, round(score * 0.3::DOUBLE, 6) AS score
+    SELECT uid, mid, other AS rec_mid, round(score * 0.3::DOUBLE + 1e-10::DOUBLE, 6) AS score
     FROM stream_last l JOIN vec_ranked v USING (mid) WHERE v.rank <= {N}
     UNION ALL
-    SELECT uid, mid, other, round(score * 0.3::DOUBLE, 6) FROM stream_last l JOIN sims_ranked v USING (mid) WHERE v.rank <= {N}
+    SELECT uid, mid, other, round(score * 0.3::DOUBLE + 1e-10::DOUBLE, 6) FROM stream_last l JOIN sims_ranked v USING (mid) WHERE v.rank <= {N}
     UNION ALL
-    SELECT l.uid, l.mid, v.mid, round(v.score * 0.4::DOUBLE, 6)
+    SELECT l.uid, l.mid, v.mid, round(v.score * 0.4::DOUBLE + 1e-10::DOUBLE, 6)
     FROM stream_last l JOIN stream_ranked v ON v.uid = l.uid WHERE v.rank <= {N}"""
 HYBRID = f"""
     SELECT *, row_number() OVER (PARTITION BY uid, mid ORDER BY score DESC, rec_mid) AS rank FROM mixed

@@ -209,7 +209,7 @@ def stream_priority_scores(spark, folder):
     SELECT m.uid, m.candidate AS mid,
            round(avg(similarity * score) + log10(greatest(count(*) FILTER (WHERE score > 3), 1))
                  - log10(CASE WHEN any_value(d.last_down) IS NULL THEN 1
-                              ELSE 1 + count(*) FILTER (WHERE score > 3 AND position < d.last_down) END), 6) AS score
+                              ELSE 1 + count(*) FILTER (WHERE score > 3 AND position < d.last_down) END) + 1e-10::DOUBLE, 6) AS score
     FROM matched m JOIN downs d ON d.uid = m.uid AND d.candidate = m.candidate
     GROUP BY m.uid, m.candidate""",
     downs="SELECT uid, candidate, max(position) FILTER (WHERE score <= 3) AS last_down FROM matched GROUP BY uid, candidate",

@@ -127,7 +127,7 @@ def live_blocks(prefix, source):
             SELECT uid, candidate AS mid,
                    round(avg(similarity * score)
                          + log10(greatest(count(*) FILTER (WHERE score > 3), 1))
-                         - log10(greatest(count(*) FILTER (WHERE score <= 3), 1)), 6) AS score
+                         - log10(greatest(count(*) FILTER (WHERE score <= 3), 1)) + 1e-10::DOUBLE, 6) AS score
             FROM {p}matched GROUP BY uid, candidate""",
         f"{p}ranked": f"""
             SELECT uid, mid, score, row_number() OVER (PARTITION BY uid ORDER BY score DESC, mid) AS rank

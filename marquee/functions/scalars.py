@@ -10,6 +10,10 @@ MILLIS_FLOOR = 100_000_000_000
 
 HALF_STARS = 10
 
+# Added before rounding, so that a value whose exact decimal ends in 5 rounds up even when the
+# last bit of the double falls below it.
+TIE_SLACK = 1e-10
+
 
 def _c(column) -> Column:
     return F.col(column) if isinstance(column, str) else column
@@ -123,6 +127,11 @@ def rank_recs(recs, n=None) -> Column:
     return ordered if n is None else F.slice(ordered, 1, n)
 
 
+def rounded(value, digits=6) -> Column:
+    """Rounding of a computed score whose exact value may be a decimal tie."""
+    return F.round(_c(value) + F.lit(TIE_SLACK), digits)
+
+
 def cosine(a, b) -> Column:
     """Cosine of two arrays of doubles; null when either has zero length."""
     a, b = _c(a), _c(b)

@@ -4,7 +4,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from marquee.operators.similarity import DIGITS, SimilarItems, unseen_neighbours
+from marquee.functions.scalars import rounded
+from marquee.operators.similarity import SimilarItems, unseen_neighbours
 
 HISTORY_KEPT = 40
 HISTORY_READ = 20
@@ -76,7 +77,7 @@ def priority_scores(
     else:
         down = F.greatest("down", F.lit(1))
     score = F.col("base") + F.log10(F.greatest("up", F.lit(1))) - F.log10(down)
-    return totals.select("uid", F.col("candidate").alias("mid"), F.round(score, DIGITS).alias("score"))
+    return totals.select("uid", F.col("candidate").alias("mid"), rounded(score).alias("score"))
 
 
 def user_lists(events: DataFrame, scores: DataFrame) -> DataFrame:

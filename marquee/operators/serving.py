@@ -73,7 +73,7 @@ def hybrid(requests, factor_recs, content_recs, stream_recs, n, dedupe="none") -
         lists = recs.select(key, S.rank_recs("recs", n).alias("recs"))
         found = requests.join(lists, key).select("uid", "mid", F.explode("recs").alias("r"))
         return found.select(
-            "uid", "mid", F.col("r.mid").alias("rec_mid"), F.round(F.col("r.score") * share, DIGITS).alias("score")
+            "uid", "mid", F.col("r.mid").alias("rec_mid"), S.rounded(F.col("r.score") * share).alias("score")
         )
 
     mixed = (

@@ -36,7 +36,11 @@ def rows_of(columns, rows):
 
 def compare(con, df, sql):
     """None when equal, else a short description of the difference."""
-    spark_columns, spark_rows = rows_of(df.columns, [tuple(r) for r in df.collect()])
+    return difference(con, df.columns, [tuple(r) for r in df.collect()], sql)
+
+
+def difference(con, columns, rows, sql):
+    spark_columns, spark_rows = rows_of(columns, rows)
     result = con.execute(sql)
     sql_columns, sql_rows = rows_of([d[0] for d in result.description], result.fetchall())
     if spark_columns != sql_columns:
@@ -61,16 +65,19 @@ def main(folder, names):
         start = time.time()
         try:
             df = check.run(spark, folder)
-            if check.sql is None:
-                verdict = f"rows only: {df.count()}"
-            else:
-                verdict = compare(con, df, check.sql)
-                bad += verdict is not None
-                verdict = verdict or f"equal ({con.execute(f'SELECT count(*) FROM ({check.sql})').fetchone()[0]} rows)"
+            rows = [tuple(r) for r in df.collect()]
+            spent = time.time() - start
+            verdict = f"rows only ({len(rows)})"
+            if check.sql is not None:
+                different = difference(con, df.columns, rows, check.sql)
+                bad += different is not None
+                verdict = different or f"equal ({len(rows)} rows)"
         except Exception as error:
             bad += 1
+            spent = time.time() - start
             verdict = f"ERROR {type(error).__name__}: {str(error)[:600]}"
-        print(f"{name:34s} {time.time() - start:6.1f}s  {verdict}", flush=True)
+        total = time.time() - start
+        print(f"{name:34s} spark {spent:6.1f}s sql {total - spent:6.1f}s  {verdict}", flush=True)
     print("differences:", bad)
 
 

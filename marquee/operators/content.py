@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from marquee.functions import scalars as S
 from marquee.functions import text as X
 from marquee.operators.similarity import SimilarItems, assign_profiles, sparse_pairs, with_self
+from marquee.session import written
 
 
 def genre_tokens(movies: DataFrame) -> DataFrame:
@@ -69,6 +70,7 @@ def unit_weights(weights: DataFrame) -> DataFrame:
 def similar_by_content(movies: DataFrame, threshold=0.6, buckets=None, block_rows=512) -> SimilarItems:
     """Similar movies by cosine of genre tf-idf, see ``similarity`` for the two tables."""
     members, weights = content_profiles(movies, buckets)
-    unit = unit_weights(weights)
+    members = written(members, "members")
+    unit = written(unit_weights(weights), "unit-weights")
     pairs = sparse_pairs(unit, threshold, block_rows)
     return SimilarItems(members, with_self(pairs, unit.select("pid").distinct()))

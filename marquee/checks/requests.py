@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from marquee.checks import check
 from marquee.checks.live import run_live
 from marquee.checks.reports import _info, genre_recs
-from marquee.checks.similar import content_index, user_recs, vector_index
+from marquee.checks.similar import content_index, stored_ratings, user_recs, vector_index
 from marquee.checks.sql import query
 from marquee.checks.tables import stream_ratings
 from marquee.operators import online, serving, similarity
@@ -35,7 +35,7 @@ def serve_same(spark, folder):
 @check("lookup_user_recs", query(f"SELECT uid, rank, mid, score FROM ranked WHERE rank <= {N}"))
 def lookup_user_recs(spark, folder):
     """The list of every user."""
-    recs = user_recs(spark, folder, sample.ratings(spark, folder))
+    recs = user_recs(spark, folder, stored_ratings(spark, folder))
     return serving.lookup(sample.users(spark, folder).select("uid"), recs, "uid", N)
 
 
@@ -58,7 +58,7 @@ SERVED = f"""
 def cold_start_fallback(spark, folder):
     """Web-log users have a list; every other user gets the list of a preferred genre."""
     users = sample.users(spark, folder)
-    recs = written(user_recs(spark, folder, stream_ratings(spark, folder)), "user-recs")
+    recs = written(user_recs(spark, folder, written(stream_ratings(spark, folder), "ratings")), "user-recs")
     ranked = serving.lookup(users.select("uid"), recs, "uid", N)
     return serving.cold_start(users, ranked, genre_recs(spark, folder), N)
 
@@ -67,7 +67,7 @@ def cold_start_fallback(spark, folder):
     "SELECT s.*, i.name, i.avg_score FROM served s JOIN info i ON i.mid = s.mid", served=SERVED
 ))
 def serve_wish(spark, folder):
-    recs = written(user_recs(spark, folder, stream_ratings(spark, folder)), "user-recs")
+    recs = written(user_recs(spark, folder, written(stream_ratings(spark, folder), "ratings")), "user-recs")
     return serving.serve_wish(
         sample.users(spark, folder), recs, genre_recs(spark, folder), *_info(spark, folder), N
     )
@@ -88,7 +88,7 @@ HYBRID = f"""
 
 def _sources(spark, folder):
     """(requests, similar by vectors, similar by content, live lists); a request is a user's last movie."""
-    ratings = stream_ratings(spark, folder)
+    ratings = written(stream_ratings(spark, folder), "ratings")
     index = content_index(spark, folder)
     return (
         online.last_events(ratings),

@@ -180,7 +180,7 @@ def unseen_candidates(spark, folder):
 
 @check("top_similar_unseen", query("SELECT uid, mid, rank, candidate, score FROM unseen"))
 def top_similar_unseen(spark, folder):
-    ratings = sample.ratings(spark, folder)
+    ratings = stored_ratings(spark, folder)
     return similarity.unseen_neighbours(
         content_index(spark, folder), online.last_events(ratings), ratings.select("uid", "mid"), 20
     ).drop("candidate_pid")
@@ -191,6 +191,11 @@ def recent_ratings(spark, folder):
     return online.recent_ratings(sample.ratings(spark, folder))
 
 
+def stored_ratings(spark, folder):
+    """The ratings as a stored table."""
+    return written(sample.ratings(spark, folder), "ratings")
+
+
 def scored(spark, folder, ratings, mode="counted", index=None):
     index = index or content_index(spark, folder)
     candidates = similarity.unseen_neighbours(
@@ -201,7 +206,7 @@ def scored(spark, folder, ratings, mode="counted", index=None):
 
 @check("stream_priority_scores", query("SELECT uid, mid, score FROM scores"))
 def stream_priority_scores(spark, folder):
-    return scored(spark, folder, sample.ratings(spark, folder))
+    return scored(spark, folder, stored_ratings(spark, folder))
 
 
 @check("stream_priority_scores_legacy", query(
@@ -215,7 +220,7 @@ def stream_priority_scores(spark, folder):
     downs="SELECT uid, candidate, max(position) FILTER (WHERE score <= 3) AS last_down FROM matched GROUP BY uid, candidate",
 ))
 def stream_priority_scores_legacy(spark, folder):
-    return scored(spark, folder, sample.ratings(spark, folder), mode="legacy")
+    return scored(spark, folder, stored_ratings(spark, folder), mode="legacy")
 
 
 def user_recs(spark, folder, ratings, index=None):

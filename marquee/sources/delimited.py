@@ -19,6 +19,8 @@ def _read(spark, path, schema, sep, mode):
         .option("quote", "")
         .option("mode", mode)
         .option("columnNameOfCorruptRecord", CORRUPT)
+        # A pruned scan does not notice missing fields.
+        .option("columnPruning", False)
         .option("ignoreLeadingWhiteSpace", True)
         .option("ignoreTrailingWhiteSpace", True)
         .csv(path)

@@ -10,15 +10,13 @@ CORRUPT = "_corrupt_record"
 
 
 def _read(spark, path, schema, sep, mode):
-    wanted = schema
     if mode.upper() == "PERMISSIVE":
-        wanted = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+        return _read_permissive(spark, path, schema, sep)
     rows = (
-        spark.read.schema(wanted)
+        spark.read.schema(schema)
         .option("sep", sep)
         .option("quote", "")
         .option("mode", mode)
-        .option("columnNameOfCorruptRecord", CORRUPT)
         # A pruned scan does not notice missing fields.
         .option("columnPruning", False)
         .option("ignoreLeadingWhiteSpace", True)
@@ -26,13 +24,26 @@ def _read(spark, path, schema, sep, mode):
         .csv(path)
     )
     # Empty fields are empty strings in the data model, not nulls.
+    return rows.select(*[
+        F.coalesce(f.name, F.lit("")).alias(f.name) if isinstance(f.dataType, T.StringType) else f.name
+        for f in schema.fields
+    ])
+
+
+def _read_permissive(spark, path, schema, sep):
+    """All lines; one with a wrong number of fields or an unreadable number only fills CORRUPT."""
+    parts = F.split("value", f"[{sep}]" if sep != "^" else r"\^")
+    fields = [
+        F.trim(F.get(parts, F.lit(i))).try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)
+    ]
+    lines = spark.read.text(path).select("value", F.size(parts).alias("found"), F.struct(*fields).alias("row"))
+    complete = F.col("found") == len(schema.fields)
     for field in schema.fields:
-        if isinstance(field.dataType, T.StringType):
-            value = F.coalesce(field.name, F.lit(""))
-            if mode.upper() == "PERMISSIVE":
-                value = F.when(F.col(CORRUPT).isNull(), value).otherwise(F.col(field.name))
-            rows = rows.withColumn(field.name, value)
-    return rows
+        complete = complete & F.col("row")[field.name].isNotNull()
+    return lines.select(
+        *[F.when(complete, F.col("row")[f.name]).alias(f.name) for f in schema.fields],
+        F.when(~complete, F.col("value")).alias(CORRUPT),
+    )
 
 
 def read_movies(spark: SparkSession, path, mode="FAILFAST") -> DataFrame:

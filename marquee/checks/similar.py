@@ -58,7 +58,7 @@ def tf_idf(spark, folder):
     SELECT a.mid, b.mid AS other,
            round(list_inner_product(a.vec, b.vec)
                  / (sqrt(list_inner_product(a.vec, a.vec)) * sqrt(list_inner_product(b.vec, b.vec))), 6) AS cosine
-    FROM asked JOIN vectors a ON a.mid = asked.mid JOIN vectors b ON b.mid = asked.other""",
+    FROM asked JOIN all_vectors a ON a.mid = asked.mid JOIN all_vectors b ON b.mid = asked.other""",
     asked="SELECT DISTINCT uid AS mid, mid AS other FROM stream_ratings",
 ))
 def cosine_pairs(spark, folder):
@@ -94,7 +94,7 @@ def content_members(spark, folder):
 def content_similar_profiles(spark, folder):
     """With ``content_members`` the whole similarity relation of the movies."""
     index = content.similar_by_content(sample.movies(spark, folder))
-    return index.pairs.filter(F.col("pid") != F.col("other"))
+    return index.pairs.filter(F.col("pid") != F.col("other")).select("pid", "other", "score")
 
 
 @check("content_similar_counts", query(
@@ -151,8 +151,7 @@ def sim_candidates(spark, folder):
 
 
 def _candidates(index, events):
-    sizes = index.members.groupBy(F.col("pid").alias("other")).agg(F.count("*").alias("size"))
-    joined = events.join(index.members, "mid").join(index.pairs, "pid").join(sizes, "other")
+    joined = events.join(index.members, "mid").join(index.pairs, "pid")
     # The movie itself is a member of its own profile but no candidate.
     size = F.col("size") - F.when(F.col("pid") == F.col("other"), 1).otherwise(0)
     return joined.select("uid", "mid", "other", "score", size.alias("size")).filter(F.col("size") > 0)

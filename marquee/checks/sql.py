@@ -88,7 +88,9 @@ BLOCKS = {
     "sims_ranked": """
         SELECT mid, other, score, row_number() OVER (PARTITION BY mid ORDER BY score DESC, other) AS rank FROM sims""",
     # similar vectors
-    "vectors": "SELECT CAST(vec_id AS INT) AS mid, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings",
+    "all_vectors": "SELECT CAST(vec_id AS INT) AS mid, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings",
+    # copies of a vector are one profile, named by the smallest mid
+    "vectors": "SELECT min(mid) AS mid, vec FROM all_vectors GROUP BY vec",
     "vec_sims": """
         SELECT mid, other, score FROM (
             SELECT a.mid AS mid, b.mid AS other,

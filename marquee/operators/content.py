@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions import scalars as S
 from marquee.functions import text as X
-from marquee.operators.similarity import SimilarItems, assign_profiles, sparse_pairs, with_self
+from marquee.operators.similarity import SimilarItems, assign_profiles, similar_items, sparse_pairs
 from marquee.session import written
 
 
@@ -72,5 +72,5 @@ def similar_by_content(movies: DataFrame, threshold=0.6, buckets=None, block_row
     members, weights = content_profiles(movies, buckets)
     members = written(members, "members")
     unit = written(unit_weights(weights), "unit-weights")
-    pairs = sparse_pairs(unit, threshold, block_rows)
-    return SimilarItems(members, with_self(pairs, unit.select("pid").distinct()))
+    found = sparse_pairs(unit, threshold, block_rows)
+    return similar_items(members, found, unit.select("pid").distinct())

@@ -4,8 +4,9 @@ Items with the same vector share a *profile*; scores are computed between profil
 similarity result is therefore two tables:
 
 * ``members`` (mid, pid): the profile of each item, named by its smallest mid;
-* ``pairs`` (pid, other, score): every ordered pair of profiles above the threshold, and each
-  profile with itself.
+* ``pairs`` (pid, other, score, size, before): every ordered pair of profiles above the threshold,
+  and each profile with itself. ``size`` is the number of items of ``other``, ``before`` the number of
+  items of all profiles that score higher for ``pid``.
 
 Together they hold every similar pair of items without ever writing the square of a group of
 copies. Lists, counts and candidates are read from the two tables.
@@ -277,10 +278,15 @@ def _densify(block, vocabulary):
     return dense
 
 
-def with_self(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Adds each usable profile paired with itself."""
-    own = profiles.select("pid", F.col("pid").alias("other"), F.lit(1.0).alias("score"))
-    return pairs.select("pid", "other", "score").unionByName(own)
+def similar_items(members: DataFrame, found: DataFrame, usable: DataFrame) -> SimilarItems:
+    """The two tables from ``found`` (pid, other, score) and the ``usable`` profiles (pid)."""
+    own = usable.select("pid", F.col("pid").alias("other"), F.lit(1.0).alias("score"))
+    sizes = members.groupBy(F.col("pid").alias("other")).agg(F.count("*").alias("size"))
+    sized = found.select("pid", "other", "score").unionByName(own).join(sizes, "other")
+    upto = W.partitionBy("pid").orderBy(F.desc("score")).rangeBetween(W.unboundedPreceding, W.currentRow)
+    equal = W.partitionBy("pid", "score")
+    before = F.sum("size").over(upto) - F.sum("size").over(equal)
+    return SimilarItems(members, sized.select("pid", "other", "score", "size", before.alias("before")))
 
 
 def similar_vectors(items: DataFrame, threshold=0.6, block_rows=2048) -> SimilarItems:
@@ -289,9 +295,8 @@ def similar_vectors(items: DataFrame, threshold=0.6, block_rows=2048) -> Similar
     heads = items.withColumnRenamed("mid", "pid").join(
         members.select("pid").distinct(), "pid", "left_semi"
     )
-    pairs = dense_pairs(heads, threshold, block_rows)
-    usable = unit_vectors(heads).select("pid")
-    return SimilarItems(members, with_self(pairs, usable))
+    found = dense_pairs(heads, threshold, block_rows)
+    return similar_items(members, found, unit_vectors(heads).select("pid"))
 
 
 # --- reading a similarity result ------------------------------------------------------------
@@ -299,8 +304,7 @@ def similar_vectors(items: DataFrame, threshold=0.6, block_rows=2048) -> Similar
 
 def neighbour_counts(index: SimilarItems) -> DataFrame:
     """(mid, neighbours): how many items are similar to each item, from the whole result."""
-    sizes = index.members.groupBy(F.col("pid").alias("other")).agg(F.count("*").alias("n"))
-    per_profile = index.pairs.join(sizes, "other").groupBy("pid").agg(F.sum("n").alias("n"))
+    per_profile = index.pairs.groupBy("pid").agg(F.sum("size").alias("n"))
     return index.members.join(per_profile, "pid").select("mid", (F.col("n") - 1).alias("neighbours"))
 
 
@@ -311,7 +315,8 @@ def neighbour_lists(index: SimilarItems, k) -> DataFrame:
     a profile is named by its smallest member. All items of a profile read one shared list.
     """
     heads = _first(index.members, "pid", ["mid"], k + 1).select(F.col("pid").alias("other"), "mid")
-    best = _first(index.pairs, "pid", [F.desc("score"), "other"], k + 1)
+    near = index.pairs.filter(F.col("before") <= k).select("pid", "other", "score")
+    best = _first(near, "pid", [F.desc("score"), "other"], k + 1)
     merged = _first(best.join(heads, "other"), "pid", [F.desc("score"), "mid"], k + 1)
     shared = merged.groupBy("pid").agg(
         F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("k"), "mid", "score"))).alias("list")
@@ -360,34 +365,49 @@ def unseen_neighbours(index: SimilarItems, events: DataFrame, seen: DataFrame, n
     """(uid, mid, rank, candidate, candidate_pid, score): first ``n`` similar items a user has not seen.
 
     ``events`` holds (uid, mid); ``seen`` holds (uid, mid). The item of the event itself is no
-    candidate. Exact without reading whole lists: for each event the profiles are kept while the
-    better ones hold fewer than ``n`` unseen items, and of a kept profile only the first
-    ``n`` + (members the user has seen) items are fetched.
+    candidate. Exact without reading whole lists. The answer lies among the first ``need`` =
+    ``n`` + (items the user has seen) of a list, so only profiles with ``before`` < ``need`` are fetched;
+    of those, the ones stay whose better profiles hold fewer than ``n`` unseen items; and of each the
+    first ``n`` + (members seen) items. Rows stay within events x ``n`` + seen items.
     """
     events = events.select("uid", "mid").distinct()
-    known = seen.select("uid", "mid").unionByName(events).distinct().join(
+    known = seen.select("uid", "mid").join(
         events.select("uid").distinct(), "uid", "left_semi"
-    )
-    sizes = index.members.groupBy(F.col("pid").alias("other")).agg(F.count("*").alias("size"))
+    ).unionByName(events).distinct()
     known_sizes = (
         known.join(index.members, "mid").groupBy("uid", F.col("pid").alias("other")).agg(F.count("*").alias("seen"))
     )
-    lists = events.join(index.members, "mid").join(index.pairs, "pid").join(sizes, "other").join(
-        known_sizes, ["uid", "other"], "left"
-    ).withColumn("seen", F.coalesce("seen", F.lit(0))).withColumn("left", F.col("size") - F.col("seen"))
+    totals = known_sizes.groupBy("uid").agg(F.sum("seen").alias("total"))
+
+    # Equal powers of two make the range condition on ``before`` an equi-join.
+    level = lambda count: F.floor(F.log2(count + 1))
+    asking = (
+        events.join(index.members, "mid").join(totals, "uid")
+        .select("uid", "mid", "pid", (F.col("total") + n).alias("need"))
+        .withColumn("level", F.explode(F.sequence(F.lit(0).cast("long"), level(F.col("need")))))
+    )
+    lists = index.pairs.withColumn("level", level(F.col("before")))
+    near = (
+        asking.join(lists, ["pid", "level"]).filter(F.col("before") < F.col("need"))
+        .join(known_sizes, ["uid", "other"], "left")
+        .withColumn("seen", F.coalesce("seen", F.lit(0)))
+        .withColumn("left", F.col("size") - F.col("seen"))
+    )
     upto = W.partitionBy("uid", "mid").orderBy(F.desc("score")).rangeBetween(W.unboundedPreceding, W.currentRow)
     equal = W.partitionBy("uid", "mid", "score")
-    kept = lists.withColumn("better", F.sum("left").over(upto) - F.sum("left").over(equal)).filter(
+    kept = near.withColumn("better", F.sum("left").over(upto) - F.sum("left").over(equal)).filter(
         (F.col("better") < n) & (F.col("left") > 0)
     )
+
     block = lambda rank: F.floor((rank - 1) / RANK_BLOCK)
     ranked = member_ranks(index.members).select(
         F.col("pid").alias("other"), block(F.col("rank")).alias("block"),
         F.col("rank").alias("at"), F.col("mid").alias("candidate"),
     )
     fetched = kept.select(
-        "uid", "mid", "other", "score", (F.col("seen") + n).alias("upto"),
-        F.explode(F.sequence(F.lit(0).cast("long"), block(F.least(F.col("seen") + n, F.col("size"))))).alias("block"),
+        "uid", "mid", "other", "score", F.least(F.col("seen") + n, F.col("size")).alias("upto"),
+    ).withColumn(
+        "block", F.explode(F.sequence(F.lit(0).cast("long"), block(F.col("upto"))))
     ).join(ranked, ["other", "block"]).filter(F.col("at") <= F.col("upto"))
     fresh = fetched.join(
         known.select("uid", F.col("mid").alias("candidate")), ["uid", "candidate"], "left_anti"

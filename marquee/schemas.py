@@ -48,7 +48,20 @@ def _keyed_recs(key, key_type):
 
 SEARCH_DOCUMENT = T.StructType(list(MOVIE.fields) + [T.StructField("tags", T.StringType())])
 
-# Stored tables, by the names the jobs read and write.
+# Similar movies: the profile of each movie, and scores between profiles.
+MEMBERS = T.StructType([
+    T.StructField("mid", T.IntegerType()),
+    T.StructField("pid", T.IntegerType()),
+])
+PAIRS = T.StructType([
+    T.StructField("pid", T.IntegerType()),
+    T.StructField("other", T.IntegerType()),
+    T.StructField("score", T.DoubleType()),
+    T.StructField("size", T.LongType()),
+    T.StructField("before", T.LongType()),
+])
+
+# Names of the stored tables.
 TABLES = {
     "Movie": MOVIE,
     "Rating": RATING,
@@ -71,26 +84,11 @@ TABLES = {
     "GenresTopMovies": _keyed_recs("genres", T.StringType()),
     "UserRecs": _keyed_recs("uid", T.IntegerType()),
     "StreamRecs": _keyed_recs("uid", T.IntegerType()),
-    # Similar-movie tables: profile of each movie, and scores between profiles.
-    "MovieRecsMembers": T.StructType([
-        T.StructField("mid", T.IntegerType()),
-        T.StructField("pid", T.IntegerType()),
-    ]),
-    "MovieRecsPairs": T.StructType([
-        T.StructField("pid", T.IntegerType()),
-        T.StructField("other", T.IntegerType()),
-        T.StructField("score", T.DoubleType()),
-    ]),
+    "MovieRecsMembers": MEMBERS,
+    "MovieRecsPairs": PAIRS,
     "MovieRecs": _keyed_recs("mid", T.IntegerType()),
-    "ContentMovieRecsMembers": T.StructType([
-        T.StructField("mid", T.IntegerType()),
-        T.StructField("pid", T.IntegerType()),
-    ]),
-    "ContentMovieRecsPairs": T.StructType([
-        T.StructField("pid", T.IntegerType()),
-        T.StructField("other", T.IntegerType()),
-        T.StructField("score", T.DoubleType()),
-    ]),
+    "ContentMovieRecsMembers": MEMBERS,
+    "ContentMovieRecsPairs": PAIRS,
     "ContentMovieRecs": _keyed_recs("mid", T.IntegerType()),
     "AlsGrid": T.StructType([
         T.StructField("rank", T.IntegerType()),

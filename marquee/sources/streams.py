@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Topic names and the key of forwarded messages.
 RATING_TOPIC = "recommender"
 LOG_TOPIC = "log"
 MESSAGE_KEY = "logProcessor"

@@ -7,6 +7,7 @@ from marquee import schemas
 from marquee.operators.online import HISTORY_READ, last_events, latest_lists, live_lists, recent_ratings
 
 TRIGGER = "2 seconds"
+HISTORY = "uid int, mid int, score double, timestamp int, bucket int, batch_id long"
 
 
 class LiveLists:
@@ -14,15 +15,18 @@ class LiveLists:
 
     Both tables are folders with one subfolder per batch that a replay overwrites, so processing
     a batch twice changes nothing. ``load_index`` and ``load_ratings`` are called for each batch:
-    a similarity table or rating table that was replaced in between takes effect.
+    a similarity table or rating table that was replaced in between takes effect. The history is
+    laid out in ``buckets`` of users; a batch reads those of its own users. More buckets suit a longer
+    history with smaller batches.
     """
 
-    def __init__(self, spark, root, load_index, load_ratings=None, mode="counted"):
+    def __init__(self, spark, root, load_index, load_ratings=None, mode="counted", buckets=8):
         self.spark = spark
         self.root = root.rstrip("/")
         self.load_index = load_index
         self.load_ratings = load_ratings
         self.mode = mode
+        self.buckets = buckets
 
     @property
     def history_path(self):
@@ -32,23 +36,30 @@ class LiveLists:
     def lists_path(self):
         return f"{self.root}/lists"
 
-    def history(self, before=None) -> DataFrame:
-        """All ratings written so far, plus the stored ratings when there are any."""
-        schema = schemas.RATING.simpleString()[len("struct<"):-1].replace(":", " ")
-        rows = self.spark.read.schema(f"{schema}, batch_id long").parquet(self.history_path)
+    def history(self, before=None, buckets=None) -> DataFrame:
+        """Ratings written so far, plus the stored ratings when there are any.
+
+        ``buckets`` limits the files that are read to those of some user buckets.
+        """
+        rows = self.spark.read.schema(HISTORY).parquet(self.history_path)
         if before is not None:
             rows = rows.filter(F.col("batch_id") <= before)
-        rows = rows.drop("batch_id")
+        if buckets is not None:
+            rows = rows.filter(F.col("bucket").isin(buckets))
+        rows = rows.select(*schemas.RATING.names)
         return rows if self.load_ratings is None else rows.unionByName(self.load_ratings())
 
     def __call__(self, ratings: DataFrame, batch_id: int):
         """Handler for ``foreachBatch``: the batch joins the history before lists are computed."""
         spark = ratings.sparkSession
         mine = f"{self.history_path}/batch_id={batch_id}"
-        ratings.write.mode("overwrite").parquet(mine)
-        batch = spark.read.schema(ratings.schema).parquet(mine)
+        bucket = F.pmod(F.xxhash64("uid"), F.lit(self.buckets)).cast("int")
+        ratings.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(mine)
+        batch = spark.read.schema(HISTORY).parquet(mine)
+        # At most ``buckets`` numbers.
+        touched = [r["bucket"] for r in batch.select("bucket").distinct().collect()]
         events = last_events(batch)
-        known = self.history(batch_id).join(events.select("uid"), "uid", "left_semi")
+        known = self.history(batch_id, touched).join(events.select("uid"), "uid", "left_semi")
         lists = live_lists(
             self.load_index(), events, known.select("uid", "mid"),
             recent_ratings(known, HISTORY_READ), self.mode,

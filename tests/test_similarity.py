@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from marquee.operators import content, similarity
-from marquee.operators.similarity import SimilarItems
 
 
 def brute(vectors, threshold):
@@ -24,7 +23,7 @@ def expanded(index):
     members, pairs = {}, {}
     for mid, pid in rows(index.members):
         members.setdefault(pid, []).append(mid)
-    for pid, other, score in rows(index.pairs):
+    for pid, other, score in rows(index.pairs, "pid", "other", "score"):
         pairs.update({(a, b): score for a in members[pid] for b in members[other] if a != b})
     return pairs
 
@@ -95,8 +94,8 @@ def test_content_pairs_equal_brute_force(frame, block_rows):
 def small_index(frame):
     """Profiles 1 (with 2, 3), 4 (with 5) and 6; 1-4 at 0.9, 1-6 at 0.8."""
     members = frame([(1, 1), (2, 1), (3, 1), (4, 4), (5, 4), (6, 6)], "mid int, pid int")
-    pairs = [(1, 4, 0.9), (4, 1, 0.9), (1, 6, 0.8), (6, 1, 0.8)] + [(p, p, 1.0) for p in (1, 4, 6)]
-    return SimilarItems(members, frame(pairs, "pid int, other int, score double"))
+    found = frame([(1, 4, 0.9), (4, 1, 0.9), (1, 6, 0.8), (6, 1, 0.8)], "pid int, other int, score double")
+    return similarity.similar_items(members, found, frame([(1,), (4,), (6,)], "pid int"))
 
 
 def test_lists_and_counts(frame):

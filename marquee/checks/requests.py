@@ -92,9 +92,9 @@ def _sources(spark, folder):
     index = content_index(spark, folder)
     return (
         online.last_events(ratings),
-        similarity.neighbour_lists(vector_index(spark, folder), 20),
-        similarity.neighbour_lists(index, 20),
-        user_recs(spark, folder, ratings, index),
+        written(similarity.neighbour_lists(vector_index(spark, folder), 20), "movie-recs"),
+        written(similarity.neighbour_lists(index, 20), "content-movie-recs"),
+        written(user_recs(spark, folder, ratings, index), "stream-recs"),
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions import scalars as S
 from marquee.operators.similarity import DIGITS
-from marquee.operators.statistics import spread_recs
+from marquee.operators.statistics import gather_recs
 
 # Share of each source in the hybrid list.
 FACTOR_SHARE = 0.3
@@ -92,30 +92,33 @@ def hybrid(requests, factor_recs, content_recs, stream_recs, n, dedupe="none") -
     )
 
 
+def _genre_pick(seed):
+    at = F.lit(0) if seed is None else F.pmod(F.xxhash64("uid", F.lit(seed)), F.size("prefGenres")).cast("int")
+    # Without preferences there is nothing to pick.
+    return F.when(F.size("prefGenres") > 0, S.first_word(F.get("prefGenres", at)))
+
+
 def chosen_genre(users: DataFrame, seed=None) -> DataFrame:
     """(uid, genres): first word of one preferred genre; users without preferences are left out.
 
     With a ``seed`` the pick is pseudo-random per user, otherwise the first preference.
     """
-    liked = users.filter(F.size("prefGenres") > 0)
-    at = F.lit(0) if seed is None else F.pmod(F.xxhash64("uid", F.lit(seed)), F.size("prefGenres")).cast("int")
-    return liked.select("uid", S.first_word(F.get("prefGenres", at)).alias("genres"))
+    return users.select("uid", _genre_pick(seed).alias("genres")).filter(F.col("genres").isNotNull())
 
 
 def cold_start(users: DataFrame, ranked: DataFrame, genre_recs: DataFrame, n, seed=None) -> DataFrame:
     """(uid, rank, mid, score, source): ``ranked`` plus a genre's top list for users without a list.
 
-    ``ranked`` holds (uid, rank, mid, score).
+    ``ranked`` holds (uid, rank, mid, score), few per user.
     """
-    without = users.join(ranked.select("uid").distinct(), "uid", "left_anti")
-    tops = spread_recs(genre_recs, "genres", n)
-    fallback = chosen_genre(without, seed).join(tops, "genres").select(
-        "uid", "rank", "mid", "score", F.lit("genre").alias("source")
-    )
-    served = ranked.join(users.select("uid"), "uid", "left_semi").select(
-        "uid", "rank", "mid", "score", F.lit("list").alias("source")
+    own = gather_recs(ranked, "uid").withColumnRenamed("recs", "own")
+    tops = genre_recs.select("genres", S.rank_recs("recs", n).alias("tops"))
+    joined = users.withColumn("genres", _genre_pick(seed)).join(own, "uid", "left").join(tops, "genres", "left")
+    served = joined.select(
+        "uid", F.when(F.col("own").isNotNull(), "list").otherwise("genre").alias("source"),
+        F.posexplode(F.coalesce("own", "tops")).alias("at", "r"),
     )
-    return served.unionByName(fallback)
+    return served.select("uid", (F.col("at") + 1).alias("rank"), "r.mid", "r.score", "source")
 
 
 def serve_guess(requests, users, factor_recs, content_recs, stream_recs, genre_recs, movies, averages, n, seed=None):

@@ -73,7 +73,7 @@ def dense_pairs(vectors: DataFrame, threshold, block_rows=2048) -> DataFrame:
     wanted = min(MAX_PIVOTS, max(1, -(-size // block_rows)))
     pivots = _pivots(unit, wanted)
     if len(pivots) < 2:
-        homes = _chunked(unit.withColumn("grp", F.lit(0)), block_rows)
+        homes = _placed(unit.withColumn("grp", F.lit(0)).withColumn("chunks", F.lit(-(-size // block_rows) or 1)))
         return _both_ways(_rounded(_within(homes, threshold), threshold))
 
     homed = written(_nearest(unit, pivots), "homes")
@@ -133,9 +133,11 @@ def _chunked(rows, block_rows):
     sizes = rows.groupBy("grp").agg(
         F.ceil(F.count("*") / F.lit(block_rows)).cast("int").alias("chunks")
     )
-    return rows.join(sizes, "grp").withColumn(
-        "chunk", F.pmod(F.xxhash64("pid"), F.col("chunks")).cast("int")
-    )
+    return _placed(rows.join(sizes, "grp"))
+
+
+def _placed(rows):
+    return rows.withColumn("chunk", F.pmod(F.xxhash64("pid"), F.col("chunks")).cast("int"))
 
 
 def _within(homes, threshold):

@@ -121,10 +121,15 @@ def rating_histogram(ratings: DataFrame) -> DataFrame:
 
 
 def hot_movies(monthly: DataFrame, n) -> DataFrame:
-    """(rank, mid, score 0.0): movies of the latest month first, most rated first."""
-    latest = monthly.groupBy("mid").agg(F.max(F.struct("yearmonth", "count")).alias("m"))
-    top = latest.orderBy(F.desc("m.yearmonth"), F.desc("m.count"), "mid").limit(n)
-    return _ranked(top, [F.desc("m.yearmonth"), F.desc("m.count"), F.col("mid")])
+    """(rank, mid, score 0.0): movies of the latest month first, most rated first.
+
+    A movie counts with its own latest month; a month occurs once per movie.
+    """
+    latest = monthly.groupBy("mid").agg(
+        F.max_by("count", "yearmonth").alias("count"), F.max("yearmonth").alias("yearmonth")
+    )
+    order = [F.desc("yearmonth"), F.desc("count"), F.col("mid")]
+    return _ranked(latest.orderBy(*order).limit(n), order)
 
 
 def most_rated_movies(counts: DataFrame, n) -> DataFrame:

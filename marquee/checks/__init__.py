@@ -28,7 +28,7 @@ def check(name, sql=None):
 
 def load_all():
     from marquee.checks import (  # noqa: F401
-        tables, fields, reports, similar, searches, live, requests, learned,
+        tables, fields, reports, similar, searches, live, requests, learned, composed,
     )
 
     return CHECKS

@@ -55,7 +55,7 @@ def stream_log_files(spark, folder):
     return _drain(spark, streams.keyed(rating_log.rating_messages(lines)), "messages")
 
 
-def _log_arrivals(spark, folder):
+def log_arrivals(spark, folder):
     """Writes the log to a folder chunk by chunk in event order; yields after each chunk."""
     logs = scratch(spark, "log-files")
     lines = sample.log_lines(spark, folder)
@@ -76,7 +76,7 @@ def run_live(spark, folder, index=None):
     index = index or content_index(spark, folder)
     root = scratch(spark, "live")
     handler = LiveLists(spark, root, lambda: index)
-    logs, arrivals = _log_arrivals(spark, folder)
+    logs, arrivals = log_arrivals(spark, folder)
     for _ in arrivals():
         ratings = rating_log.ratings_from_log(streams.log_folder_source(spark, logs))
         streams.run_available(handler.writer(ratings, f"{root}/checkpoint"))
@@ -100,7 +100,7 @@ def stream_recs_latest(spark, folder):
 def stream_recent_ratings(spark, folder):
     """Recent ratings as streaming state; the newest version of each user is read back."""
     path = scratch(spark, "recent")
-    logs, arrivals = _log_arrivals(spark, folder)
+    logs, arrivals = log_arrivals(spark, folder)
 
     def keep(rows, batch_id):
         rows.write.mode("overwrite").parquet(f"{path}/out/batch_id={batch_id}")

@@ -89,7 +89,7 @@ def stream_recs(spark, folder):
 
 
 @check("stream_recs_latest", query(
-    "SELECT r.uid, count(s.mid) AS n FROM stream_last r LEFT JOIN stream_ranked s ON s.uid = r.uid GROUP BY r.uid"
+    "SELECT r.uid, CAST(count(s.mid) AS INT) AS n FROM stream_last r LEFT JOIN stream_ranked s ON s.uid = r.uid GROUP BY r.uid"
 ))
 def stream_recs_latest(spark, folder):
     """One row per user, users with an empty list included."""

@@ -96,14 +96,14 @@ def rating_histogram(spark, folder):
 
 
 HOT = """
-    SELECT row_number() OVER (ORDER BY yearmonth DESC, count DESC, mid) AS rank, mid, 0.0::DOUBLE AS score FROM (
+    SELECT CAST(row_number() OVER (ORDER BY yearmonth DESC, count DESC, mid) AS INT) AS rank, mid, 0.0::DOUBLE AS score FROM (
         SELECT mid, count, yearmonth, row_number() OVER (PARTITION BY mid ORDER BY yearmonth DESC) AS pos FROM monthly)
     WHERE pos = 1 QUALIFY rank <= 100"""
 MOST = """
-    SELECT row_number() OVER (ORDER BY count DESC, mid) AS rank, mid, 0.0::DOUBLE AS score
+    SELECT CAST(row_number() OVER (ORDER BY count DESC, mid) AS INT) AS rank, mid, 0.0::DOUBLE AS score
     FROM counts QUALIFY rank <= 100"""
 NEWEST = """
-    SELECT row_number() OVER (ORDER BY issue DESC, mid) AS rank, * FROM movies QUALIFY rank <= 100"""
+    SELECT CAST(row_number() OVER (ORDER BY issue DESC, mid) AS INT) AS rank, * FROM movies QUALIFY rank <= 100"""
 
 
 @check("hot_movies", query("SELECT * FROM hot", hot=HOT))
@@ -123,7 +123,7 @@ def new_movies(spark, folder):
 
 @check("new_movies_by_date", query(
     """
-    SELECT row_number() OVER (ORDER BY issued DESC, mid) AS rank, mid, name, issue
+    SELECT CAST(row_number() OVER (ORDER BY issued DESC, mid) AS INT) AS rank, mid, name, issue
     FROM (SELECT mid, name, strftime(CAST(issue AS DATE), '%B %-d, %Y') AS issue, CAST(issue AS DATE) AS issued FROM movies)
     QUALIFY rank <= 100"""
 ))

@@ -82,7 +82,7 @@ MIXED = f"""
     SELECT l.uid, l.mid, v.mid, round(v.score * 0.4::DOUBLE + 1e-10::DOUBLE, 6)
     FROM stream_last l JOIN stream_ranked v ON v.uid = l.uid WHERE v.rank <= {N}"""
 HYBRID = f"""
-    SELECT *, row_number() OVER (PARTITION BY uid, mid ORDER BY score DESC, rec_mid) AS rank FROM mixed
+    SELECT *, CAST(row_number() OVER (PARTITION BY uid, mid ORDER BY score DESC, rec_mid) AS INT) AS rank FROM mixed
     QUALIFY rank <= {N}"""
 
 
@@ -105,7 +105,7 @@ def hybrid_recs(spark, folder):
 
 @check("hybrid_recs_dedup", query(
     f"""
-    SELECT *, row_number() OVER (PARTITION BY uid, mid ORDER BY score DESC, rec_mid) AS rank FROM (
+    SELECT *, CAST(row_number() OVER (PARTITION BY uid, mid ORDER BY score DESC, rec_mid) AS INT) AS rank FROM (
         SELECT uid, mid, rec_mid, round(sum(score), 6) AS score FROM mixed GROUP BY uid, mid, rec_mid)
     QUALIFY rank <= {N}""",
     mixed=MIXED,

@@ -61,7 +61,7 @@ BLOCKS = {
     "genre_top": """
         SELECT genre AS genres, rank, mid, score FROM (
             SELECT genre, mid, round(avg, 6) AS score,
-                   row_number() OVER (PARTITION BY genre ORDER BY round(avg, 6) DESC, mid) AS rank
+                   CAST(row_number() OVER (PARTITION BY genre ORDER BY round(avg, 6) DESC, mid) AS INT) AS rank
             FROM movies JOIN averages USING (mid) JOIN genre_names
                  ON contains(lower(genres), lower(genre)))
         WHERE rank <= 10""",
@@ -86,7 +86,7 @@ BLOCKS = {
         SELECT mid, min(mid) OVER (PARTITION BY terms) AS pid
         FROM (SELECT mid, string_agg(term, ' ' ORDER BY term) AS terms FROM words GROUP BY mid)""",
     "sims_ranked": """
-        SELECT mid, other, score, row_number() OVER (PARTITION BY mid ORDER BY score DESC, other) AS rank FROM sims""",
+        SELECT mid, other, score, CAST(row_number() OVER (PARTITION BY mid ORDER BY score DESC, other) AS INT) AS rank FROM sims""",
     # similar vectors
     "all_vectors": "SELECT CAST(vec_id AS INT) AS mid, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings",
     # copies of a vector are one profile, named by the smallest mid
@@ -99,7 +99,7 @@ BLOCKS = {
             FROM vectors a JOIN vectors b ON a.mid <> b.mid)
         WHERE score > 0.3""",
     "vec_ranked": """
-        SELECT mid, other, score, row_number() OVER (PARTITION BY mid ORDER BY score DESC, other) AS rank FROM vec_sims""",
+        SELECT mid, other, score, CAST(row_number() OVER (PARTITION BY mid ORDER BY score DESC, other) AS INT) AS rank FROM vec_sims""",
 }
 
 
@@ -109,14 +109,14 @@ def live_blocks(prefix, source):
     return {
         f"{p}recent": f"""
             SELECT uid, position, mid, score FROM (
-                SELECT *, row_number() OVER (PARTITION BY uid ORDER BY "timestamp" DESC, mid DESC, score DESC) AS position
+                SELECT *, CAST(row_number() OVER (PARTITION BY uid ORDER BY "timestamp" DESC, mid DESC, score DESC) AS INT) AS position
                 FROM {source}) WHERE position <= 20""",
         f"{p}last": f"SELECT uid, mid FROM {p}recent WHERE position = 1",
         f"{p}seen": f"SELECT DISTINCT uid, mid FROM {source}",
         f"{p}unseen": f"""
             SELECT * FROM (
                 SELECT l.uid, l.mid, s.other AS candidate, s.score,
-                       row_number() OVER (PARTITION BY l.uid, l.mid ORDER BY s.score DESC, s.other) AS rank
+                       CAST(row_number() OVER (PARTITION BY l.uid, l.mid ORDER BY s.score DESC, s.other) AS INT) AS rank
                 FROM {p}last l JOIN sims s ON s.mid = l.mid
                 WHERE NOT EXISTS (SELECT 1 FROM {p}seen e WHERE e.uid = l.uid AND e.mid = s.other))
             WHERE rank <= 20""",
@@ -132,7 +132,7 @@ def live_blocks(prefix, source):
                          - log10(greatest(count(*) FILTER (WHERE score <= 3), 1)) + 1e-10::DOUBLE, 6) AS score
             FROM {p}matched GROUP BY uid, candidate""",
         f"{p}ranked": f"""
-            SELECT uid, mid, score, row_number() OVER (PARTITION BY uid ORDER BY score DESC, mid) AS rank
+            SELECT uid, mid, score, CAST(row_number() OVER (PARTITION BY uid ORDER BY score DESC, mid) AS INT) AS rank
             FROM {p}scores""",
     }
 

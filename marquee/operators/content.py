@@ -57,20 +57,10 @@ def content_profiles(movies: DataFrame, buckets=None):
     return members, weights
 
 
-def unit_weights(weights: DataFrame) -> DataFrame:
-    """Weights scaled to length one per pid; profiles of zero length are left out."""
-    norms = weights.groupBy("pid").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return (
-        weights.join(norms.filter(F.col("norm") > 0), "pid")
-        .filter(F.col("w") != 0)
-        .select("pid", "term", "df", (F.col("w") / F.col("norm")).alias("w"))
-    )
-
-
 def similar_by_content(movies: DataFrame, threshold=0.6, buckets=None, block_rows=512) -> SimilarItems:
     """Similar movies by cosine of genre tf-idf, see ``similarity`` for the two tables."""
     members, weights = content_profiles(movies, buckets)
     members = written(members, "members")
-    unit = written(unit_weights(weights), "unit-weights")
-    found = sparse_pairs(unit, threshold, block_rows)
-    return similar_items(members, found, unit.select("pid").distinct())
+    weights = written(weights, "weights")
+    found = sparse_pairs(weights, threshold, block_rows)
+    return similar_items(members, found, weights.filter(F.col("w") != 0).select("pid").distinct())

@@ -223,15 +223,18 @@ def _both_ways(pairs):
 def sparse_pairs(weights: DataFrame, threshold, block_rows=512) -> DataFrame:
     """(pid, other, score) with cosine above ``threshold`` from (pid, term, w, df), both directions.
 
-    ``w`` is scaled so that each pid has length one; ``df`` orders the terms, rarest first.
-    Two vectors can only exceed the threshold when they share a term of their *prefixes*: the
-    leading rare terms up to where the rest of the vector is shorter than the threshold. Pairs
-    are therefore looked for per prefix term, and frequent terms are hardly ever among them. The
-    holders of one prefix term are cut into blocks and compared block against block.
+    ``df`` orders the terms, rarest first. With vectors scaled to length one, two of them can only
+    exceed the threshold when they share a term of their *prefixes*: the leading rare terms up to where the
+    rest of the vector is shorter than the threshold. Pairs are therefore looked for per prefix
+    term, and frequent terms are hardly ever among them. The holders of one prefix term are cut
+    into blocks and compared block against block.
     """
-    terms = weights.groupBy("pid").agg(
-        F.array_sort(F.collect_list(F.struct("df", F.xxhash64("term").alias("t"), "w"))).alias("terms")
+    # One array per profile; a profile has as many entries as distinct terms.
+    vectors = weights.filter(F.col("w") != 0).groupBy("pid").agg(
+        F.array_sort(F.collect_list(F.struct("df", F.xxhash64("term").alias("t"), "w"))).alias("raw"),
+        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
     )
+    terms = vectors.withColumn("terms", F.expr("transform(raw, x -> struct(x.t AS t, x.w / norm AS w))"))
     rest = "1 - aggregate(slice(terms, 1, i), 0D, (acc, y) -> acc + y.w * y.w)"
     prefixed = terms.withColumn(
         "prefix", F.expr(f"filter(terms, (x, i) -> {rest} >= {threshold * threshold - 1e-9})")

@@ -51,20 +51,24 @@ class LiveLists:
 
     def __call__(self, ratings: DataFrame, batch_id: int):
         """Handler for ``foreachBatch``: the batch joins the history before lists are computed."""
-        spark = ratings.sparkSession
         mine = f"{self.history_path}/batch_id={batch_id}"
         bucket = F.pmod(F.xxhash64("uid"), F.lit(self.buckets)).cast("int")
         ratings.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(mine)
-        batch = spark.read.schema(HISTORY).parquet(mine)
+        # Read back in the caller's session: the session of a stream runs without adaptive plans.
+        batch = self.spark.read.schema(HISTORY).parquet(mine)
         # At most ``buckets`` numbers.
         touched = [r["bucket"] for r in batch.select("bucket").distinct().collect()]
         events = last_events(batch)
-        known = self.history(batch_id, touched).join(events.select("uid"), "uid", "left_semi")
-        lists = live_lists(
-            self.load_index(), events, known.select("uid", "mid"),
-            recent_ratings(known, HISTORY_READ), self.mode,
-        )
-        lists.write.mode("overwrite").parquet(f"{self.lists_path}/batch_id={batch_id}")
+        # Read from the history once and used three times; lost blocks are read again.
+        known = self.history(batch_id, touched).join(events.select("uid"), "uid", "left_semi").persist()
+        try:
+            lists = live_lists(
+                self.load_index(), events, known.select("uid", "mid"),
+                recent_ratings(known, HISTORY_READ), self.mode,
+            )
+            lists.write.mode("overwrite").parquet(f"{self.lists_path}/batch_id={batch_id}")
+        finally:
+            known.unpersist()
 
     def latest(self) -> DataFrame:
         """(uid, recs): the newest list of each user."""

@@ -163,7 +163,7 @@ def remove_repeats(documents: DataFrame, window=35, with_text=True) -> DataFrame
     keys = anchors.groupBy("key").agg(
         F.count("*").alias("places"), (F.min("ctx") != F.max("ctx")).alias("mixed")
     ).filter("places > 1").select("key", "mixed")
-    met = anchors.join(keys, "key")
+    met = written(anchors.join(keys, "key"), "met")
     blocks = met.groupBy("key", "ctx").agg(
         F.count("*").alias("places"), F.first("mixed").alias("mixed"),
         F.min(F.struct("u1", "u2", "a", "n")).alias("at"),

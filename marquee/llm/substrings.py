@@ -159,15 +159,17 @@ def remove_repeats(documents: DataFrame, window=35, with_text=True) -> DataFrame
     texts = keyed.select("u1", "u2", "text")
     anchors = written(texts.mapInArrow(_anchors(window), ANCHOR), "anchors")
 
-    # Anchors of one place only cannot start a repeat.
+    # Anchors of one place only cannot start a repeat. Sums that are joined back are written first:
+    # Spark splits a hot key of a join only where both sides come straight from a shuffle.
     keys = anchors.groupBy("key").agg(
         F.count("*").alias("places"), (F.min("ctx") != F.max("ctx")).alias("mixed")
     ).filter("places > 1").select("key", "mixed")
-    met = written(anchors.join(keys, "key"), "met")
+    met = written(anchors.join(written(keys, "keys"), "key"), "met")
     blocks = met.groupBy("key", "ctx").agg(
         F.count("*").alias("places"), F.first("mixed").alias("mixed"),
         F.min(F.struct("u1", "u2", "a", "n")).alias("at"),
     )
+    blocks = written(blocks, "blocks")
     repeated = blocks.filter("places > 1").select("key", "ctx")
     factors = met.join(repeated, ["key", "ctx"], "left_semi").select("u1", "u2", "a", "n")
 
@@ -179,7 +181,7 @@ def remove_repeats(documents: DataFrame, window=35, with_text=True) -> DataFrame
     )
     twice = windows.groupBy("h").agg(F.count("*").alias("places")).filter("places > 1").select("h")
     boundary = (
-        windows.filter("not settled").join(twice, "h", "left_semi")
+        windows.filter("not settled").join(written(twice, "twice"), "h", "left_semi")
         .select("u1", "u2", "a", F.lit(1).alias("n"))
     )
     spans = _spans(factors.unionByName(boundary).distinct())

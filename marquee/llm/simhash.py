@@ -96,15 +96,16 @@ def components(pairs: DataFrame, rounds=60) -> DataFrame:
 
     Large-star and small-star rounds in turn: every round hangs nodes on smaller neighbours, and
     the edges shrink to stars. Each round is a written table. A hot node's edges are reduced by a
-    ``min`` with map-side sums and a join, never gathered into a list.
+    ``min`` with map-side sums and a join, never gathered into a list; the sums are written first,
+    because Spark splits a hot key of a join only where both sides come straight from a shuffle.
     """
     edges = written(pairs.select(F.col("high").alias("u"), F.col("low").alias("v")), "edges")
     for _ in range(rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.join(written(least, "least"), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = written(large.filter("u <> v").distinct(), "large")
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
+        down = written(large.groupBy("u").agg(F.min("v").alias("m")), "down")
         small = large.join(down, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = written(small.unionByName(down.select("u", F.col("m").alias("v"))).distinct(), "small")
         # Stars: nobody has two parents and no parent has a parent.
@@ -131,8 +132,9 @@ def groups(documents: DataFrame, shingle=3, distance=3) -> DataFrame:
     rooted = nodes.join(roots, nodes["print"] == roots["node"], "left").select(
         "print", "least_id", F.coalesce("root", "print").alias("root")
     )
-    named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    member = rooted.join(named, "root").select("print", "component_id")
+    rooted = written(rooted, "rooted")
+    named = written(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")), "named")
+    member = written(rooted.join(named, "root").select("print", "component_id"), "member")
     return prints.join(member, "print")
 
 

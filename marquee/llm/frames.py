@@ -18,7 +18,7 @@ def bucket_of(column, n):
 def words_of(column):
     """The array of words of a text; none for null or blank text."""
     parts = F.split(F.coalesce(F.col(column), F.lit("")), WORD_BREAK)
-    return F.filter(parts, lambda w: w != "")
+    return F.array_remove(parts, "")
 
 
 def bound(df: DataFrame, **columns) -> DataFrame:
@@ -30,3 +30,22 @@ def bound(df: DataFrame, **columns) -> DataFrame:
     for name, column in columns.items():
         df = df.select("*", F.explode(F.array(column)).alias(name))
     return df
+
+
+def shielded(df: DataFrame, known):
+    """``df`` with its columns other than ``known`` under neutral names, and the way back.
+
+    Lets an operator add its own columns to a table whose extra columns may have the same names.
+    """
+    names = {c: f"_extra{i}" for i, c in enumerate(c for c in df.columns if c not in known)}
+    columns = df.columns
+
+    def restore(out):
+        return out.select(*[F.col(names.get(c, c)).alias(c) for c in columns])
+
+    return df.withColumnsRenamed(names), restore
+
+
+def hashed_order(column):
+    """A fixed random order of ids."""
+    return F.xxhash64(F.col(column))

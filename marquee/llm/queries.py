@@ -6,8 +6,8 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import simhash, substrings
-from marquee.llm.frames import table
+from marquee.llm import divergence, quality, simhash, substrings
+from marquee.llm.frames import bucket_of, table
 
 
 class Query(NamedTuple):
@@ -34,6 +34,24 @@ def op1(spark, folder):
     )
 
 
+@query("op4_divergence")
+def op4(spark, folder):
+    documents = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    return divergence.quality(documents).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.round("class_distance", 6).alias("class_distance"), F.round("word_distance", 6).alias("word_distance"),
+    )
+
+
+@query("op5_quality")
+def op5(spark, folder):
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.train(documents, table(spark, folder, "labels"))
+    return quality.score(documents, model, keep_text=False).select(
+        "doc_id", (bucket_of("doc_id", 5) == 0).alias("held_out"), "score", "predicted"
+    )
+
+
 @query("op6_simhash")
 def op6(spark, folder):
     documents = table(spark, folder, "documents").select("doc_id", "text")

@@ -21,10 +21,10 @@ COMMON_WORDS = (
 ).split()
 
 # Character classes that a pattern counts. Blanks, bytes above ASCII and the rest
-# (lower-case letters, above all) follow from lengths.
+# (lower-case letters, above all) follow from lengths. The fourth and fifth are the rules' symbols.
 PATTERNS = ("[A-Z]", "[0-9]", "[.,;:?'\"()-]", "[#*$%&<>]", "[|]", "[!]")
 
-MIN_CHARS = 200
+MIN_CHARS = 700
 MIN_WORDS = 50
 MAX_CLASS_DISTANCE = 0.2
 MAX_WORD_DISTANCE = 0.4
@@ -64,15 +64,18 @@ def _covered(starts):
     return F.aggregate(starts, zero, step, lambda acc: acc["n"])
 
 
-def _histograms(rows):
-    """Adds ``classes`` (counts by class), ``seen`` (common words met) and ``uses`` (their counts)."""
+def _histograms(rows, fold=False):
+    """Adds ``classes`` (counts by class), ``seen`` (common words met) and ``uses`` (their counts).
+
+    ``fold`` lower-cases the words first.
+    """
     text = F.coalesce("text", F.lit(""))
     chars = F.length(text)
     rows = bound(rows, word_chars=F.length(F.array_join("words", "")))
     blank, high = chars - F.col("word_chars"), F.octet_length(text) - chars
     rows = bound(rows, counted=F.array(*[F.regexp_count(text, F.lit(p)) for p in PATTERNS], blank, high))
     rest = F.greatest(chars - F.aggregate("counted", F.lit(0), lambda acc, x: acc + x), F.lit(0))
-    lower = F.transform("words", F.lower)
+    lower = F.transform("words", F.lower) if fold else F.col("words")
     rows = bound(rows, common=F.filter(lower, lambda w: w.isin(COMMON_WORDS)))
     rows = bound(rows, seen=F.array_distinct("common"))
     uses = F.transform("seen", lambda w: F.size("common") - F.size(F.array_remove("common", w)))
@@ -88,20 +91,25 @@ def references(documents: DataFrame) -> DataFrame:
 
     One small row per value of ``lang`` (null is a value), from sums that are taken before shuffling.
     """
-    rows = _histograms(bound(documents.select("lang", "text"), words=words_of("text")))
-    size = len(PATTERNS) + 3
-    sums = rows.groupBy("lang").agg(*[F.sum(F.get("classes", F.lit(i))).alias(f"c{i}") for i in range(size)])
-    counted = F.array(*[F.col(f"c{i}") for i in range(size)])
-    total = sum((F.col(f"c{i}") for i in range(1, size)), F.col("c0"))
-    classes = sums.select("lang", F.transform(counted, lambda c: c / F.greatest(total, F.lit(1))).alias("ref_classes"))
-    words = rows.select("lang", F.explode(F.arrays_zip("seen", "uses")).alias("w")).groupBy(
-        "lang", F.col("w.seen").alias("word")).agg(F.sum("w.uses").alias("uses"))
-    shares = words.groupBy("lang").agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct("word", "uses")))).alias("uses"))
-    whole = F.aggregate(F.map_values("uses"), F.lit(0).cast("long"), lambda acc, x: acc + x)
-    shares = shares.select("lang", F.transform_values("uses", lambda k, v: v / whole).alias("ref_words"))
-    same = classes["lang"].eqNullSafe(shares["lang"])
-    return classes.join(shares, same, "left").select(classes["lang"].alias("ref_lang"), "ref_classes", "ref_words")
+    rows = documents.select("lang", F.lower("text").alias("lowered"), "text")
+    rows = _histograms(bound(rows, words=words_of("lowered")).drop("lowered"))
+    number = F.transform("classes", lambda c, i: F.struct(i.cast("string").alias("key"), c.alias("uses")))
+    word = F.transform(F.arrays_zip("seen", "uses"), lambda w: F.struct(
+        F.concat(F.lit("="), w["seen"]).alias("key"), w["uses"].alias("uses")))
+    sums = rows.select("lang", F.inline(F.concat(number, word))).groupBy("lang", "key").agg(F.sum("uses").alias("uses"))
+    entry = F.struct("key", "uses")
+    listed = sums.groupBy("lang").agg(F.sort_array(F.collect_list(entry)).alias("all"))
+    total = lambda found: F.greatest(F.aggregate(found, F.lit(0).cast("long"), lambda acc, x: acc + x["uses"]), F.lit(1))
+    listed = listed.select(
+        "lang", F.filter("all", lambda x: ~x["key"].startswith("=")).alias("classes"),
+        F.filter("all", lambda x: x["key"].startswith("=")).alias("words"),
+    )
+    return listed.select(
+        F.col("lang").alias("ref_lang"),
+        F.transform("classes", lambda x: x["uses"] / total(F.col("classes"))).alias("ref_classes"),
+        F.map_from_entries(F.transform("words", lambda x: F.struct(
+            F.substring(x["key"], 2, 1000), x["uses"] / total(F.col("words"))))).alias("ref_words"),
+    )
 
 
 def _distance(shares, reference):
@@ -133,10 +141,10 @@ def judge(documents: DataFrame, reference: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     worded = lambda line: F.length(F.translate(line, " \t\n\x0b\x0c\r", "")) > 0
     rows = bound(rows, lines=F.filter(F.split(text, "\n"), worded))
-    rows = _histograms(rows).withColumns({
+    rows = _histograms(rows, fold=True).withColumns({
         "n_words": F.col("n").cast("long"),
         "word_chars": F.col("word_chars").cast("long"),
-        "n_symbols": F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long"),
+        "n_symbols": (F.get("counted", F.lit(3)) + F.get("counted", F.lit(4))).cast("long"),
         "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
         "n_repeat_words": _covered(F.col("starts")),
     }).drop("words", "packed", "starts", "lines")

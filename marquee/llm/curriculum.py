@@ -69,18 +69,24 @@ def position(demand):
     return F.when(start == end, demand).otherwise(bent)
 
 
-def mix(documents: DataFrame, schedule=SCHEDULE, share=1.5, repeats=2) -> DataFrame:
-    """All rows with ``size``, ``source_size``, ``target``, ``before``, ``passes``, ``taken``, ``position``.
-
-    ``size`` counts words (null text: 0). All documents of a source are read ``passes`` times whole,
-    and once more up to the target: ``taken`` counts a document's words in the mix and differs from a
-    multiple of ``size`` for one document per source at most. ``position`` is that of its first words,
-    null if none are taken. Equal rows share the same place in any order, so reruns agree.
-    Columns of the input that are named like a result or like ``start`` and ``end`` are replaced.
+def sized(documents: DataFrame) -> DataFrame:
+    """``documents`` with ``size``: the number of words of the text, 0 for a null one."""
+    return documents.withColumn("size", F.size(words_of("text")).cast("long"))
+
+
+def mix(sizes: DataFrame, schedule=SCHEDULE, share=1.5, repeats=2) -> DataFrame:
+    """All rows with ``source_size``, ``target``, ``before``, ``passes``, ``taken`` and ``position``.
+
+    ``sizes`` has ``doc_id``, ``source`` and ``size``, and best no text: its rows are shuffled. All
+    documents of a source are read ``passes`` times whole, and once more up to the target: ``taken``
+    counts a document's words in the mix and differs from a multiple of ``size`` for one document per
+    source at most. ``position`` is that of its first words, null if none are taken. Equal rows share
+    their places in any order, so reruns agree. A null source is a source; null ids come first.
+    Columns of the input that are named like a result or an intermediate column are replaced.
     """
-    own = ["size", "source_size", "target", "before", "passes", "taken", "position", "start", "end",
+    own = ["source_size", "target", "before", "passes", "taken", "position", "start", "end",
            "order", "part", "inside", "offset"]
-    sizes = written(documents.drop(*own).withColumn("size", F.size(words_of("text")).cast("long")), "sizes")
+    sizes = written(sizes.drop(*own), "sizes")
     goal = written(targets(sizes.select("source", "size"), schedule, share, repeats), "targets")
     rows = _prefix(sizes)
     rows = rows.join(goal, rows["source"].eqNullSafe(goal["source"]), "left").drop(goal["source"])
@@ -93,19 +99,26 @@ def mix(documents: DataFrame, schedule=SCHEDULE, share=1.5, repeats=2) -> DataFr
     return rows.withColumn("position", F.when(F.col("taken") > 0, position(F.col("before") / F.col("target"))))
 
 
-def ordered(documents: DataFrame, **options) -> DataFrame:
+def ordered(sizes: DataFrame, **options) -> DataFrame:
     """``mix``, range-sorted by training position; documents that are not taken come first."""
-    return written(mix(documents, **options), "mix").orderBy("position", "doc_id")
+    return written(mix(sizes, **options), "mix").orderBy("position", "doc_id")
 
 
 def training_rows(documents: DataFrame, **options) -> DataFrame:
-    """The mix as rows in training order: a document once for each pass that reads it.
+    """The mix as rows of ``documents`` in training order: a document once for each pass that reads it.
 
-    A document that the last pass only begins is kept whole.
+    A document that the last pass only begins is kept whole. The mix is planned on sizes alone; texts
+    join it by 96 hash bits of the whole row, each different row once.
     """
-    mixed = mix(documents, **options).filter("taken > 0")
+    columns = documents.columns
+    keyed = sized(documents.select(
+        F.struct(*columns).alias("row"), F.xxhash64(*columns).alias("u1"), F.hash(*columns).alias("u2"),
+        "doc_id", "source", "text",
+    ))
+    mixed = mix(keyed.select("u1", "u2", "doc_id", "source", "size"), **options).filter("taken > 0")
     times = F.sequence(F.lit(0), F.ceil(F.col("taken") / F.col("size")).cast("int") - 1)
     rows = mixed.withColumn("pass", F.explode(times))
     demand = (F.col("before") + F.col("pass") * F.col("source_size")) / F.col("target")
-    rows = written(rows.withColumn("position", position(demand)), "passes")
-    return rows.orderBy("position", "doc_id").select(*documents.columns)
+    rows = written(rows.select("u1", "u2", "doc_id", position(demand).alias("position")), "passes")
+    texts = keyed.groupBy("u1", "u2").agg(F.first("row").alias("row"))
+    return rows.join(texts, ["u1", "u2"]).orderBy("position", "doc_id").select("row.*")

@@ -99,7 +99,7 @@ def op6(spark, folder):
     FROM took""")
 def op8(spark, folder):
     documents = table(spark, folder, "documents").select("doc_id", "text", "source")
-    return curriculum.ordered(documents).select(
+    return curriculum.ordered(curriculum.sized(documents).drop("text")).select(
         "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken",
         F.round("position", 9).alias("position"),
     )

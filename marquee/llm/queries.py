@@ -6,7 +6,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import curriculum, divergence, neighbours, packing, quality, simhash, substrings
+from marquee.llm import curriculum, divergence, language, neighbours, packing, pages, quality, simhash, substrings, tokens
 from marquee.llm.frames import bucket_of, table
 
 
@@ -34,6 +34,20 @@ def op1(spark, folder):
     )
 
 
+@query("op2_language")
+def op2(spark, folder):
+    documents = table(spark, folder, "documents")
+    model = language.train(documents)
+    return language.identify(documents.select("doc_id", "text"), model).select(
+        "doc_id", F.coalesce(bucket_of("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
+
+
+@query("op3_main_text")
+def op3(spark, folder):
+    return pages.main_text(table(spark, folder, "pages"))
+
+
 @query("op4_divergence")
 def op4(spark, folder):
     documents = table(spark, folder, "documents").select("doc_id", "lang", "text")
@@ -60,6 +74,11 @@ def op6(spark, folder):
     )
 
 
+@query("op7_token_counts")
+def op7(spark, folder):
+    return tokens.count(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 @query("op8_mixing", """
     WITH sizes AS (
         SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,

@@ -118,35 +118,36 @@ def components(pairs: DataFrame, rounds=60) -> DataFrame:
 
 
 def groups(documents: DataFrame, shingle=3, distance=3) -> DataFrame:
-    """``documents`` without its text, with ``print`` and ``component_id``.
+    """``documents`` without its text, with ``print``, ``root`` and ``component_id``.
 
     ``component_id`` is the smallest ``doc_id`` that can be reached over links between fingerprints
     of ``distance`` or fewer differing bits. Copies share a fingerprint, which is one node whatever
-    their number. Rows with a null ``doc_id`` take part; a component of nothing else has a null id.
+    their number; ``root`` is the least fingerprint of the component. Rows with a null ``doc_id`` take
+    part; a component of nothing else has a null id. Input columns named like a result are replaced.
     Empty and null texts have fingerprint 0 and link like any other.
     """
-    prints = written(fingerprints(documents.drop("component_id"), shingle), "prints")
-    nodes = prints.groupBy("print").agg(F.min("doc_id").alias("least_id"))
-    nodes = written(nodes, "nodes")
+    prints = written(fingerprints(documents.drop("component_id", "root"), shingle), "prints")
+    nodes = written(prints.groupBy("print").agg(F.min("doc_id").alias("least_id")), "nodes")
     roots = components(near_pairs(nodes.select("print"), distance))
-    rooted = nodes.join(roots, nodes["print"] == roots["node"], "left").select(
+    rooted = written(nodes.join(roots, nodes["print"] == roots["node"], "left").select(
         "print", "least_id", F.coalesce("root", "print").alias("root")
-    )
-    rooted = written(rooted, "rooted")
+    ), "rooted")
     named = written(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")), "named")
-    member = written(rooted.join(named, "root").select("print", "component_id"), "member")
+    member = written(rooted.join(named, "root").select("print", "root", "component_id"), "member")
     return prints.join(member, "print")
 
 
 def keep_one(documents: DataFrame, shingle=3, distance=3) -> DataFrame:
-    """One row of each group with its own columns: the least ``doc_id``, of equal ids the least text.
+    """One row of each group: the least ``doc_id`` (a null one only if there is no other).
 
-    Rows of a group without any id are one row as well.
+    Rows of equal id and text are known by 96 hash bits; of several, the one with the least other
+    columns stays.
     """
-    found = groups(documents.select("doc_id", "text"), shingle, distance)
-    # One row per id is enough to know the kept ids; equal ids are settled on the rows themselves.
-    kept = found.groupBy("component_id").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-    rows = documents.join(kept, documents["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
-    rest = [c for c in documents.columns if c != "doc_id"]
-    first = rows.groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in rest if c != "text"])).alias("row"))
-    return first.select("doc_id", "row.*").select(*documents.columns)
+    columns = documents.columns
+    keyed = documents.withColumns({"u1": F.xxhash64("doc_id", "text"), "u2": F.hash("doc_id", "text")})
+    found = groups(keyed.select("doc_id", "text", "u1", "u2"), shingle, distance)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "u1", "u2")).alias("first")
+    kept = written(found.groupBy("root").agg(first).select("first.u1", "first.u2"), "kept")
+    rows = keyed.join(kept, ["u1", "u2"], "left_semi").groupBy("u1", "u2").agg(
+        F.min(F.struct("doc_id", "text", *[c for c in columns if c not in ("doc_id", "text")])).alias("row"))
+    return rows.select("row.*").select(*columns)

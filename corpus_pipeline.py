@@ -40,7 +40,7 @@ def repeated_passages(spark, docs, sf_dir):
     rows, restore = shielded(docs, KNOWN)
     parsed = substrings.remove_repeats(rows, window=35)
     cut = F.col("n_removed") > 0
-    parsed = parsed.filter(~cut | (F.col("kept") != "")).withColumn("text", F.when(cut, F.col("kept")).otherwise(F.col("text")))
+    parsed = parsed.filter(~cut | (F.col("kept") != "")).withColumn("text", F.col("kept"))
     if "n_chars" in docs.columns:
         parsed = parsed.withColumn("n_chars", F.when(cut, F.length("kept").cast("long")).otherwise(F.col("n_chars")))
     return restore(parsed)

@@ -128,10 +128,15 @@ def _parse(window, with_text):
             size = np.diff(texts.first)
             left = np.add.reduceat(np.append(keep, False).astype(np.int64), texts.first[:-1]) * (size > 0)
             kept = []
-            for i in range(batch.num_rows):
+            for i, text in enumerate(batch.column("text")):
                 mask = keep[texts.first[i]: texts.first[i + 1]]
-                text = texts.joined(i, None if left[i] == size[i] else mask)
-                kept.append(text.decode() if with_text else hashlib.sha256(text).hexdigest())
+                if with_text and left[i] == size[i]:
+                    kept.append(text.as_py())
+                elif with_text:
+                    kept.append(texts.joined(i, mask).decode())
+                else:
+                    words = texts.joined(i, None if left[i] == size[i] else mask)
+                    kept.append(hashlib.sha256(words).hexdigest())
             yield pa.RecordBatch.from_arrays([
                 batch.column("u1"), batch.column("u2"), pa.array(size), pa.array(size - left),
                 pa.array(kept, pa.string()),
@@ -145,10 +150,10 @@ def _spans(rows: DataFrame, *more) -> DataFrame:
 
 
 def remove_repeats(documents: DataFrame, window=35, with_text=True) -> DataFrame:
-    """All rows and columns of ``documents``, with ``n_words``, ``n_removed`` and the kept words.
+    """All rows of ``documents`` with ``n_words``, ``n_removed`` and ``kept`` in place of the text.
 
-    ``kept`` holds the kept words joined by one blank, or their SHA-256 if ``with_text`` is false.
-    Every word of a window of ``window`` words whose sequence also starts elsewhere, in the same
+    ``kept`` is the text itself if nothing is removed, and else the kept words joined by one blank; if
+    ``with_text`` is false, it is the SHA-256 of the kept words joined by one blank. Every word of a window of ``window`` words whose sequence also starts elsewhere, in the same
     or another row, is removed; windows are judged on the input. Null, empty and blank texts have
     no words. Rows with equal texts are repeats of each other, whatever their ids, so texts of
     ``window`` words or more that occur twice are removed whole. A text is known by 96 hash bits.
@@ -189,4 +194,4 @@ def remove_repeats(documents: DataFrame, window=35, with_text=True) -> DataFrame
         distinct.join(spans, ["u1", "u2"], "left").select("u1", "u2", "text", "spans")
         .mapInArrow(_parse(window, with_text), PARSED)
     )
-    return keyed.join(parsed, ["u1", "u2"], "left").drop("u1", "u2")
+    return keyed.drop("text").join(parsed, ["u1", "u2"], "left").drop("u1", "u2")

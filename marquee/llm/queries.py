@@ -6,7 +6,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import curriculum, divergence, language, neighbours, packing, pages, quality, simhash, substrings, tokens
+from marquee.llm import curriculum, divergence, language, neighbours, packing, pages, quality, simhash, sql, substrings, tokens
 from marquee.llm.frames import bucket_of, table
 
 
@@ -18,15 +18,15 @@ class Query(NamedTuple):
 QUERIES: dict[str, Query] = {}
 
 
-def query(name, sql=None):
+def query(name, text=None):
     def register(run):
-        QUERIES[name] = Query(run, sql)
+        QUERIES[name] = Query(run, text)
         return run
 
     return register
 
 
-@query("op1_substring_dedup")
+@query("op1_substring_dedup", sql.REPEATS)
 def op1(spark, folder):
     documents = table(spark, folder, "documents").select("doc_id", "text")
     return substrings.remove_repeats(documents, window=35, with_text=False).select(
@@ -48,7 +48,7 @@ def op3(spark, folder):
     return pages.main_text(table(spark, folder, "pages"))
 
 
-@query("op4_divergence")
+@query("op4_divergence", sql.DIVERGENCE)
 def op4(spark, folder):
     documents = table(spark, folder, "documents").select("doc_id", "lang", "text")
     return divergence.quality(documents).select(

@@ -43,7 +43,7 @@ def shielded(df: DataFrame, known):
     def restore(out):
         return out.select(*[F.col(names.get(c, c)).alias(c) for c in columns])
 
-    return df.withColumnsRenamed(names), restore
+    return df.select(*[F.col(f"`{c}`").alias(names.get(c, c)) for c in columns]), restore
 
 
 def hashed_order(column):

@@ -19,8 +19,23 @@ N = 6
 @check("lookup_similar", query(f"SELECT mid, rank, other AS rec_mid, score FROM sims_ranked WHERE rank <= {N}"))
 def lookup_similar(spark, folder):
     """The similar list of every movie."""
-    lists = similarity.neighbour_lists(content_index(spark, folder), 20)
-    return serving.lookup(sample.movies(spark, folder).select("mid"), lists, "mid", N)
+    return similar_of(spark, folder, sample.movies(spark, folder).select("mid"), N)
+
+
+def similar_of(spark, folder, asked, n):
+    """Similar movies of the asked ones, for any ``n``: nothing is cut beforehand."""
+    return serving.lookup(asked, similarity.neighbour_lists(content_index(spark, folder), n, asked), "mid", n)
+
+
+DEEP = 150
+
+
+@check("lookup_similar_deep", query(
+    f"SELECT mid, rank, other AS rec_mid, score FROM sims_ranked WHERE rank <= {DEEP} AND mid % 10 = 3"
+))
+def lookup_similar_deep(spark, folder):
+    """Long lists of some movies, as their requests ask for them."""
+    return similar_of(spark, folder, sample.movies(spark, folder).select("mid").filter("mid % 10 = 3"), DEEP)
 
 
 @check("serve_same", query(

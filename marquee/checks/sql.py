@@ -41,7 +41,7 @@ BLOCKS = {
     "log_lines": """
         SELECT event_id,
                CASE WHEN event_type = 'purchase'
-                    THEN concat('2024-01-01 INFO --- [exec] MovieRestApi : MOVIE_RATING_PREFIX:',
+                    THEN concat('2024-01-01 INFO --- [exec] web.ratings : MOVIE_RATING_PREFIX:',
                                 CAST(user_id AS VARCHAR), '|', CAST(event_id % (SELECT n FROM np) AS VARCHAR), '|',
                                 CAST(CAST(1 + event_id % 10 AS DOUBLE) / 2 AS VARCHAR), '|',
                                 CAST(CAST(floor(epoch(ts)) AS BIGINT) AS VARCHAR))

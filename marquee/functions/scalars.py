@@ -24,9 +24,14 @@ def epoch_seconds(timestamp) -> Column:
     return F.unix_seconds(_c(timestamp).cast("timestamp"))
 
 
-def as_epoch_seconds(epoch) -> Column:
-    """Seconds from an epoch number that may be in seconds or in milliseconds."""
+def as_epoch_seconds(epoch, unit=None) -> Column:
+    """Whole seconds from an epoch number in the ``unit`` of its source, "seconds" or "millis".
+
+    Without a unit large numbers count as milliseconds, which misreads those before March 1973.
+    """
     value = _c(epoch).cast("long")
+    if unit is not None:
+        return F.floor(value / {"seconds": 1, "millis": 1000}[unit]).cast("int")
     return (
         F.when(F.abs(value) >= MILLIS_FLOOR, F.floor(value / 1000)).otherwise(value).cast("int")
     )
@@ -86,7 +91,7 @@ def rating_payload(line) -> Column:
     return F.trim(F.get(F.split(_c(line), RATING_LOG_PREFIX), F.lit(1)))
 
 
-def message_fields(message) -> Column:
+def message_fields(message, unit=None) -> Column:
     """``uid|mid|score|timestamp`` as a struct; null when any field does not parse."""
     part = F.split(_c(message), "[|]")
     number = lambda i, kind: F.trim(F.get(part, F.lit(i))).try_cast(kind)
@@ -96,7 +101,7 @@ def message_fields(message) -> Column:
         complete,
         F.struct(
             uid.alias("uid"), mid.alias("mid"), score.alias("score"),
-            as_epoch_seconds(stamp).alias("timestamp"),
+            as_epoch_seconds(stamp, unit).alias("timestamp"),
         ),
     )
 

@@ -4,9 +4,10 @@ Items with the same vector share a *profile*; scores are computed between profil
 similarity result is therefore two tables:
 
 * ``members`` (mid, pid): the profile of each item, named by its smallest mid;
-* ``pairs`` (pid, other, score, size, before): every ordered pair of profiles above the threshold,
+* ``pairs`` (pid, other, score, size, before, tie): every ordered pair of profiles above the threshold,
   and each profile with itself. ``size`` is the number of items of ``other``, ``before`` the number of
-  items of all profiles that score higher for ``pid``.
+  items of all profiles that score higher for ``pid``, ``tie`` the place of ``other`` among the profiles
+  of equal score, from 1 by pid.
 
 Together they hold every similar pair of items without ever writing the square of a group of
 copies. Lists, counts and candidates are read from the two tables.
@@ -24,7 +25,8 @@ from marquee.functions.scalars import vector_norm
 from marquee.session import written
 
 DIGITS = 6
-PAIR = "pid int, other int, score double"
+# Ids are long inside; results have the id type of their input.
+PAIR = "pid long, other long, score double"
 STRIP = 512
 MAX_PIVOTS = 512
 # Members of a profile are numbered in stretches of this many consecutive mids.
@@ -68,13 +70,15 @@ def dense_pairs(vectors: DataFrame, threshold, block_rows=2048) -> DataFrame:
     meet in cells of at most about ``block_rows`` rows a side, each one matrix product, and
     only pairs above the threshold leave a cell. Large homes are split over many cells.
     """
-    unit = written(unit_vectors(vectors.select("pid", "vec")), "unit-vectors")
+    id_type = vectors.schema["pid"].dataType
+    longs = vectors.select(F.col("pid").cast("long").alias("pid"), "vec")
+    unit = written(unit_vectors(longs), "unit-vectors")
     size = unit.count()
     wanted = min(MAX_PIVOTS, max(1, -(-size // block_rows)))
     pivots = _pivots(unit, wanted)
     if len(pivots) < 2:
         homes = _placed(unit.withColumn("grp", F.lit(0)).withColumn("chunks", F.lit(-(-size // block_rows) or 1)))
-        return _both_ways(_rounded(_within(homes, threshold), threshold))
+        return _both_ways(_rounded(_within(homes, threshold), threshold), id_type)
 
     homed = written(_nearest(unit, pivots), "homes")
     radii = {r["grp"]: r["radius"] for r in homed.groupBy("grp").agg(F.max("angle").alias("radius")).collect()}
@@ -82,7 +86,7 @@ def dense_pairs(vectors: DataFrame, threshold, block_rows=2048) -> DataFrame:
     homes = _chunked(homed.select("grp", "pid", "vec"), block_rows)
     guests = _chunked(_visits(homed, pivots, reach), block_rows)
     found = _within(homes, threshold).unionByName(_across(homes, guests, threshold))
-    return _both_ways(_rounded(found, threshold))
+    return _both_ways(_rounded(found, threshold), id_type)
 
 
 def _pivots(unit, wanted):
@@ -103,7 +107,7 @@ def _nearest(unit, pivots):
                 home = angles.argmin(axis=1)
                 yield pdf.assign(grp=home.astype("int32"), angle=angles[np.arange(len(pdf)), home])
 
-    return unit.mapInPandas(nearest, "pid int, vec array<double>, grp int, angle double")
+    return unit.mapInPandas(nearest, "pid long, vec array<double>, grp int, angle double")
 
 
 def _visits(homed, pivots, reach):
@@ -125,7 +129,7 @@ def _visits(homed, pivots, reach):
                     "vec": pdf["vec"].to_numpy()[row],
                 })
 
-    return homed.mapInPandas(visits, "grp int, pid int, vec array<double>")
+    return homed.mapInPandas(visits, "grp int, pid long, vec array<double>")
 
 
 def _chunked(rows, block_rows):
@@ -199,16 +203,17 @@ def _product(left_ids, left, right_ids, right, threshold, same):
 
 def _pair_frame(found):
     if not found:
-        return pd.DataFrame({"pid": np.empty(0, "int32"), "other": np.empty(0, "int32"), "score": np.empty(0)})
+        return pd.DataFrame({"pid": np.empty(0, "int64"), "other": np.empty(0, "int64"), "score": np.empty(0)})
     pid, other, score = (np.concatenate(part) for part in zip(*found))
-    return pd.DataFrame({"pid": pid.astype("int32"), "other": other.astype("int32"), "score": score})
+    return pd.DataFrame({"pid": pid.astype("int64"), "other": other.astype("int64"), "score": score})
 
 
 def _rounded(pairs, threshold):
     return pairs.withColumn("score", F.round("score", DIGITS)).filter(F.col("score") > threshold)
 
 
-def _both_ways(pairs):
+def _both_ways(pairs, id_type):
+    pairs = pairs.select(F.col("pid").cast(id_type).alias("pid"), F.col("other").cast(id_type).alias("other"), "score")
     return pairs.select(
         F.explode(F.array(
             F.struct(F.col("pid"), F.col("other"), F.col("score")),
@@ -269,7 +274,7 @@ def sparse_pairs(weights: DataFrame, threshold, block_rows=512) -> DataFrame:
         F.least("pid", "other").alias("pid"), F.greatest("pid", "other").alias("other"), "score"
     )
     once = _rounded(ordered, threshold).groupBy("pid", "other").agg(F.max("score").alias("score"))
-    return _both_ways(once)
+    return _both_ways(once, weights.schema["pid"].dataType)
 
 
 def _densify(block, vocabulary):
@@ -291,7 +296,10 @@ def similar_items(members: DataFrame, found: DataFrame, usable: DataFrame) -> Si
     upto = W.partitionBy("pid").orderBy(F.desc("score")).rangeBetween(W.unboundedPreceding, W.currentRow)
     equal = W.partitionBy("pid", "score")
     before = F.sum("size").over(upto) - F.sum("size").over(equal)
-    return SimilarItems(members, sized.select("pid", "other", "score", "size", before.alias("before")))
+    tie = F.row_number().over(equal.orderBy("other")).cast("long")
+    return SimilarItems(
+        members, sized.select("pid", "other", "score", "size", before.alias("before"), tie.alias("tie"))
+    )
 
 
 def similar_vectors(items: DataFrame, threshold=0.6, block_rows=2048) -> SimilarItems:
@@ -313,22 +321,32 @@ def neighbour_counts(index: SimilarItems) -> DataFrame:
     return index.members.join(per_profile, "pid").select("mid", (F.col("n") - 1).alias("neighbours"))
 
 
-def neighbour_lists(index: SimilarItems, k) -> DataFrame:
+def neighbour_lists(index: SimilarItems, k, wanted: DataFrame = None) -> DataFrame:
     """(mid, recs): the exact first ``k`` similar items of each item, score desc, mid asc.
 
+    ``wanted`` (mid) asks for some items only; any ``k`` is answered from the whole result. The
     ``k + 1`` smallest members of the ``k + 1`` best profiles always contain the answer, because
-    a profile is named by its smallest member. All items of a profile read one shared list.
+    a profile is named by its smallest member, and a profile with ``before`` better items gives at
+    most ``k + 1 - before`` of them. All items of a profile read one shared list.
     """
-    heads = _first(index.members, "pid", ["mid"], k + 1).select(F.col("pid").alias("other"), "mid")
-    near = index.pairs.filter(F.col("before") <= k).select("pid", "other", "score")
-    best = _first(near, "pid", [F.desc("score"), "other"], k + 1)
-    merged = _first(best.join(heads, "other"), "pid", [F.desc("score"), "mid"], k + 1)
+    near = index.pairs.filter((F.col("before") <= k) & (F.col("tie") <= k + 1))
+    members = index.members
+    if wanted is not None:
+        members = members.join(wanted.select("mid").distinct(), "mid", "left_semi")
+        near = near.join(members.select("pid").distinct(), "pid", "left_semi")
+    place = F.row_number().over(W.partitionBy("pid").orderBy("mid"))
+    heads = index.members.withColumn("place", place).filter(F.col("place") <= k + 1).select(
+        F.col("pid").alias("other"), "mid", "place"
+    )
+    best = _first(near.select("pid", "other", "score", "before"), "pid", [F.desc("score"), "other"], k + 1)
+    within = best.join(heads, "other").filter(F.col("place") <= k + 1 - F.col("before"))
+    merged = _first(within.select("pid", "mid", "score"), "pid", [F.desc("score"), "mid"], k + 1)
     shared = merged.groupBy("pid").agg(
         F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("k"), "mid", "score"))).alias("list")
     )
     own = F.filter("list", lambda r: r.mid != F.col("mid"))
     recs = F.transform(F.slice(own, 1, k), lambda r: F.struct(r.mid.alias("mid"), r.score.alias("score")))
-    return index.members.join(shared, "pid").select("mid", recs.alias("recs")).filter(F.size("recs") > 0)
+    return members.join(shared, "pid").select("mid", recs.alias("recs")).filter(F.size("recs") > 0)
 
 
 def _first(rows, key, order, n):
@@ -391,9 +409,12 @@ def unseen_neighbours(index: SimilarItems, events: DataFrame, seen: DataFrame, n
         .select("uid", "mid", "pid", (F.col("total") + n).alias("need"))
         .withColumn("level", F.explode(F.sequence(F.lit(0).cast("long"), level(F.col("need")))))
     )
-    lists = index.pairs.withColumn("level", level(F.col("before")))
+    # Of profiles with equal scores the first ``need`` by pid hold the first ``need`` items, because a
+    # profile is named by its smallest member: ties cannot fetch more than that either.
+    first = F.greatest("before", F.col("tie") - 1)
+    lists = index.pairs.withColumn("first", first).withColumn("level", level(F.col("first")))
     near = (
-        asking.join(lists, ["pid", "level"]).filter(F.col("before") < F.col("need"))
+        asking.join(lists, ["pid", "level"]).filter(F.col("first") < F.col("need"))
         .join(known_sizes, ["uid", "other"], "left")
         .withColumn("seen", F.coalesce("seen", F.lit(0)))
         .withColumn("left", F.col("size") - F.col("seen"))

@@ -6,10 +6,11 @@ from marquee.functions import scalars as S
 from marquee.operators.merges import upsert_ratings
 
 
-def scored_clicks(clicks: DataFrame) -> DataFrame:
-    """Star clicks (uid, mid, stars, timestamp) as ratings; the time may be in milliseconds."""
+def scored_clicks(clicks: DataFrame, unit=None) -> DataFrame:
+    """Star clicks (uid, mid, stars, timestamp) as ratings; ``unit`` is that of the time."""
     return clicks.select(
-        "uid", "mid", S.stars_to_score("stars").alias("score"), S.as_epoch_seconds("timestamp").alias("timestamp")
+        "uid", "mid", S.stars_to_score("stars").alias("score"),
+        S.as_epoch_seconds("timestamp", unit).alias("timestamp"),
     )
 
 

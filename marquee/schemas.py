@@ -2,6 +2,7 @@
 
 from pyspark.sql import types as T
 
+# The fields of a movie line, in order.
 MOVIE_COLUMNS = (
     "mid", "name", "descri", "timelong", "issue",
     "shoot", "language", "genres", "actors", "directors",
@@ -59,6 +60,7 @@ PAIRS = T.StructType([
     T.StructField("score", T.DoubleType()),
     T.StructField("size", T.LongType()),
     T.StructField("before", T.LongType()),
+    T.StructField("tie", T.LongType()),
 ])
 
 # Names of the stored tables.

@@ -1,6 +1,7 @@
 """Session defaults and the shared folder for lineage cuts and scratch tables."""
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -25,17 +26,17 @@ def local_session(cores="*", shuffle_partitions=8, app="marquee") -> SparkSessio
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    A local session without that setting gets a temporary folder; a cluster session without it
-    is refused, because a machine-local folder would not survive the loss of an executor.
+    A local session without that setting gets a temporary folder, as in tests. A session on a cluster
+    is refused without it: a machine-local folder would not survive the loss of an executor.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="marquee-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="marquee-"))
+    return context.getCheckpointDir().rstrip("/")
 
 
 def scratch(spark: SparkSession, label: str) -> str:

@@ -23,11 +23,17 @@ def _read(spark, path, schema, sep, mode):
         .option("ignoreTrailingWhiteSpace", True)
         .csv(path)
     )
-    # Empty fields are empty strings in the data model, not nulls.
-    return rows.select(*[
-        F.coalesce(f.name, F.lit("")).alias(f.name) if isinstance(f.dataType, T.StringType) else f.name
-        for f in schema.fields
-    ])
+    # Empty fields are empty strings in the data model, not nulls; an empty number fails the scan.
+    return rows.select(*[_filled(f, mode) for f in schema.fields])
+
+
+def _filled(field, mode):
+    if isinstance(field.dataType, T.StringType):
+        return F.coalesce(field.name, F.lit("")).alias(field.name)
+    if mode.upper() != "FAILFAST":
+        return F.col(field.name)
+    missing = F.raise_error(F.lit(f"a line has no {field.name}")).cast(field.dataType)
+    return F.coalesce(field.name, missing).alias(field.name)
 
 
 def _read_permissive(spark, path, schema, sep):

@@ -83,7 +83,7 @@ def log_lines(spark, folder) -> DataFrame:
 def as_log_lines(events: DataFrame, mid) -> DataFrame:
     score = (1 + F.col("event_id") % 10).cast("double") / 2
     rating = F.concat(
-        F.lit("2024-01-01 INFO --- [exec] MovieRestApi : "),
+        F.lit("2024-01-01 INFO --- [exec] web.ratings : "),
         rating_log_line("user_id", mid, score, epoch_seconds("ts")),
     )
     noise = F.concat(F.lit("2024-01-01 INFO --- [exec] "), F.col("event_type"))

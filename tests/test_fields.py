@@ -24,7 +24,7 @@ def test_rating_payload(frame):
 
 
 def test_log_line_of_a_real_session(frame):
-    line = "2019-04-04 11:28:09,123 INFO --- MovieRestApi : MOVIE_RATING_PREFIX:2018522823|106471|5.0|1554349689"
+    line = "2019-04-04 11:28:09,123 INFO --- web.ratings : MOVIE_RATING_PREFIX:2018522823|106471|5.0|1554349689"
     df = rating_log.ratings_from_log(frame([(line,)], "value string"))
     assert rows(df) == [(2018522823, 106471, 5.0, 1554349689)]
 
@@ -96,3 +96,8 @@ def test_deletion_neighbourhood(frame):
 def test_hash_bucket_is_stable(frame):
     got = values(frame, X.term_bucket("v", 50), ["action", "drama", "action"])
     assert got[0] == got[2] and all(0 <= b < 50 for b in got)
+
+
+def test_unit_of_an_epoch_number(frame):
+    assert values(frame, S.as_epoch_seconds("v", "millis"), [1554349689123, 90_000_000_000], "long") == [1554349689, 90_000_000]
+    assert values(frame, S.as_epoch_seconds("v", "seconds"), [1554349689], "long") == [1554349689]

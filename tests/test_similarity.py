@@ -144,3 +144,28 @@ def test_idf(frame):
     got = {(r.mid, r.term): round(r.tfidf, 5) for r in weights.collect()}
     assert got[1, "a"] == 0.28768 and got[3, "c"] == 0.69315
     assert weights.filter(F.col("df") == 2).count() == 2
+
+
+def test_ids_beyond_32_bits(frame):
+    near, far = [1.0, 0.1], [1.0, 0.2]
+    big = 5_000_000_000
+    items = frame([(big, near), (big + 1, far), (7, [0.0, 1.0])], "mid long, vec array<double>")
+    index = similarity.similar_vectors(items, 0.6, block_rows=1)
+    assert {(r.pid, r.other) for r in index.pairs.collect() if r.pid != r.other} == {(big, big + 1), (big + 1, big)}
+    assert index.pairs.schema["pid"].dataType.simpleString() == "bigint"
+
+
+def test_ties_fetch_no_more_than_asked(frame):
+    """Thousands of profiles of equal score: only the first ones by id are fetched."""
+    many, n = 3000, 5
+    members = frame([(i, i) for i in range(many + 1)], "mid int, pid int")
+    pairs = frame(
+        [(0, 0, 1.0, 1, 0, 1)] + [(0, i, 0.8, 1, 1, i) for i in range(1, many + 1)],
+        "pid int, other int, score double, size long, before long, tie long",
+    )
+    index = similarity.SimilarItems(members, pairs)
+    events, seen = frame([(1, 0)], "uid int, mid int"), frame([(1, 2), (1, 3)], "uid int, mid int")
+    found = similarity.unseen_neighbours(index, events, seen, n)
+    assert [r.candidate for r in found.orderBy("rank").collect()] == [1, 4, 5, 6, 7]
+    lists = similarity.neighbour_lists(index, n, frame([(0,)], "mid int")).collect()
+    assert [r.mid for r in lists[0].recs] == [1, 2, 3, 4, 5] and len(lists) == 1

@@ -149,3 +149,12 @@ def test_batch_jobs(spark, tmp_path):
     assert index.members.count() == 12 and store.read("UserRecs").count() > 0
     grid = jobs.parameter_search(store, ranks=(2, 3), regs=(0.1,))
     assert grid.count() == 2
+
+
+@pytest.mark.parametrize("reader, line", [
+    (delimited.read_movies, "^noid^d^t^i^s^l^g^a^r"), (delimited.read_ratings, "1,,4.0,11"),
+])
+def test_strict_scans_fail_on_an_empty_number(spark, tmp_path, reader, line):
+    spark.createDataFrame([(line,)], "value string").write.text(str(tmp_path / "lines"))
+    with pytest.raises(Exception, match="a line has no mid"):
+        reader(spark, str(tmp_path / "lines")).collect()

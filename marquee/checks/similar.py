@@ -70,6 +70,27 @@ def cosine_pairs(spark, folder):
     )
 
 
+SHIFT = 5_000_000_000
+
+
+@check("embedding_similar_long_ids", query(
+    f"SELECT mid + {SHIFT} AS mid, other + {SHIFT} AS other, score FROM vec_sims"
+))
+def embedding_similar_long_ids(spark, folder):
+    """The same pairs under ids beyond 32 bits, in many small homes."""
+    items = vectors(spark, folder).withColumn("mid", F.col("mid").cast("long") + SHIFT)
+    pairs = similarity.similar_vectors(items, VECTOR_THRESHOLD, block_rows=100).pairs
+    return pairs.filter(F.col("pid") != F.col("other")).select(F.col("pid").alias("mid"), "other", "score")
+
+
+@check("embedding_members", query(
+    "SELECT a.mid, v.mid AS pid FROM all_vectors a JOIN vectors v ON v.vec = a.vec"
+))
+def embedding_members(spark, folder):
+    """The profile of every vector, copies included."""
+    return similarity.similar_vectors(vectors(spark, folder), VECTOR_THRESHOLD).members
+
+
 @check("embedding_similar_items", query("SELECT mid, other, score FROM vec_sims"))
 def embedding_similar_items(spark, folder):
     """All pairs above the threshold; copies of a vector stay one profile."""

@@ -54,15 +54,3 @@ def written(df: DataFrame, label: str) -> DataFrame:
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
-
-SPREAD_BYTES = 32 << 20
-
-
-def spread(df: DataFrame, size_bytes) -> DataFrame:
-    """Evens out a small frame over all cores before costly work per row.
-
-    A small table comes in fewer splits than there are cores. A table with at least
-    ``SPREAD_BYTES`` per core has splits enough and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if size_bytes < cores * SPREAD_BYTES else df

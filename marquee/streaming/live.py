@@ -36,18 +36,23 @@ class LiveLists:
     def lists_path(self):
         return f"{self.root}/lists"
 
-    def history(self, before=None, buckets=None) -> DataFrame:
+    def history(self, before=None, buckets=None, users=None) -> DataFrame:
         """Ratings written so far, plus the stored ratings when there are any.
 
-        ``buckets`` limits the files that are read to those of some user buckets.
+        ``buckets`` limits the files that are read to those of some user buckets, ``users`` (uid) the
+        rows. An event that the rating ingest has stored meanwhile counts once.
         """
+        of_users = lambda rows: rows if users is None else rows.join(users, "uid", "left_semi")
         rows = self.spark.read.schema(HISTORY).parquet(self.history_path)
         if before is not None:
             rows = rows.filter(F.col("batch_id") <= before)
         if buckets is not None:
             rows = rows.filter(F.col("bucket").isin(buckets))
-        rows = rows.select(*schemas.RATING.names)
-        return rows if self.load_ratings is None else rows.unionByName(self.load_ratings())
+        rows = of_users(rows.select(*schemas.RATING.names))
+        if self.load_ratings is None:
+            return rows
+        stored = of_users(self.load_ratings().select(*schemas.RATING.names))
+        return rows.join(stored, schemas.RATING.names, "left_anti").unionByName(stored)
 
     def __call__(self, ratings: DataFrame, batch_id: int):
         """Handler for ``foreachBatch``: the batch joins the history before lists are computed."""
@@ -60,7 +65,7 @@ class LiveLists:
         touched = [r["bucket"] for r in batch.select("bucket").distinct().collect()]
         events = last_events(batch)
         # Read from the history once and used three times; lost blocks are read again.
-        known = self.history(batch_id, touched).join(events.select("uid"), "uid", "left_semi").persist()
+        known = self.history(batch_id, touched, events.select("uid")).persist()
         try:
             lists = live_lists(
                 self.load_index(), events, known.select("uid", "mid"),

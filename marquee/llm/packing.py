@@ -78,10 +78,11 @@ def _packed(lengths, with_text):
     return run
 
 
-def pack(documents: DataFrame, lengths=LENGTHS, shard_rows=4096, with_text=False) -> DataFrame:
+def pack(documents: DataFrame, lengths=LENGTHS, shard_rows=4096, shard_bytes=16 << 20, with_text=False) -> DataFrame:
     """One row per sequence: ``bin``, ``capacity``, ``used`` words, and its pieces in lists.
 
-    A piece is words ``start`` to ``start + size`` of a document; ``with_text`` adds their texts.
+    Shards hold about ``shard_rows`` rows and ``shard_bytes`` of text, whichever is fewer, so that a task
+    needs the memory of one shard. A piece is words ``start`` to ``start + size`` of a document; ``with_text`` adds their texts.
     Every row of ``documents`` is in a sequence, whatever its id: repeated rows as often as they
     occur, null, empty and blank texts as pieces of size 0, a null id as a null in ``doc_ids``.
     Longer texts than the longest length are cut into pieces, none is dropped. An empty table gives
@@ -91,7 +92,8 @@ def pack(documents: DataFrame, lengths=LENGTHS, shard_rows=4096, with_text=False
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("digest"),
         F.size(words_of("text")).alias("size"), *(["text"] if with_text else []),
     )
-    shards = max(1, -(-documents.select("doc_id").count() // shard_rows))
+    whole = documents.agg(F.count("*").alias("rows"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    shards = max(1, -(-whole["rows"] // shard_rows), -(-(whole["bytes"] or 0) // shard_bytes))
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(shards)))
     schema = SEQUENCE + (", texts array<string>" if with_text else "")
     return dealt.groupBy("shard").applyInPandas(_packed(tuple(sorted(lengths)), with_text), schema)

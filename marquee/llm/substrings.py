@@ -153,7 +153,9 @@ def remove_repeats(documents: DataFrame, window=35, with_text=True) -> DataFrame
     """All rows of ``documents`` with ``n_words``, ``n_removed`` and ``kept`` in place of the text.
 
     ``kept`` is the text itself if nothing is removed, and else the kept words joined by one blank; if
-    ``with_text`` is false, it is the SHA-256 of the kept words joined by one blank. Every word of a window of ``window`` words whose sequence also starts elsewhere, in the same
+    ``with_text`` is false, it is the SHA-256 of the kept words joined by one blank.
+
+    Every word of a window of ``window`` words whose sequence also starts elsewhere, in the same
     or another row, is removed; windows are judged on the input. Null, empty and blank texts have
     no words. Rows with equal texts are repeats of each other, whatever their ids, so texts of
     ``window`` words or more that occur twice are removed whole. A text is known by 96 hash bits.

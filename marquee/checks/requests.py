@@ -5,11 +5,13 @@ from pyspark.sql import functions as F
 from marquee.checks import check
 from marquee.checks.live import run_live
 from marquee.checks.reports import _info, genre_recs
+from marquee.checks.searches import MOVIE_LIKES, document_store
 from marquee.checks.similar import content_index, stored_ratings, user_recs, vector_index
 from marquee.checks.sql import query
 from marquee.checks.tables import stream_ratings
 from marquee.operators import online, serving, similarity
-from marquee.plans import ingest
+from marquee.operators.statistics import gather_recs
+from marquee.plans import ingest, jobs
 from marquee.session import written
 from marquee.sources import sample
 
@@ -92,7 +94,8 @@ MIXED = f"""
     SELECT uid, mid, other AS rec_mid, round(score * 0.3::DOUBLE + 1e-10::DOUBLE, 6) AS score
     FROM stream_last l JOIN vec_ranked v USING (mid) WHERE v.rank <= {N}
     UNION ALL
-    SELECT uid, mid, other, round(score * 0.3::DOUBLE + 1e-10::DOUBLE, 6) FROM stream_last l JOIN sims_ranked v USING (mid) WHERE v.rank <= {N}
+    SELECT l.uid, l.mid, v.mid, round(v.score * 0.3::DOUBLE + 1e-10::DOUBLE, 6)
+    FROM stream_last l JOIN movie_likes v ON v.seed = l.mid WHERE v.rank <= {N}
     UNION ALL
     SELECT l.uid, l.mid, v.mid, round(v.score * 0.4::DOUBLE + 1e-10::DOUBLE, 6)
     FROM stream_last l JOIN stream_ranked v ON v.uid = l.uid WHERE v.rank <= {N}"""
@@ -102,18 +105,20 @@ HYBRID = f"""
 
 
 def _sources(spark, folder):
-    """(requests, similar by vectors, similar by content, live lists); a request is a user's last movie."""
+    """(requests, similar by vectors, more like this, live lists); a request is a user's last movie."""
     ratings = written(stream_ratings(spark, folder), "ratings")
     index = content_index(spark, folder)
+    requests = online.last_events(ratings)
+    likes = jobs.movies_like(document_store(spark, folder), N, requests.select("mid"))
     return (
-        online.last_events(ratings),
+        requests,
         written(similarity.neighbour_lists(vector_index(spark, folder), 20), "movie-recs"),
-        written(similarity.neighbour_lists(index, 20), "content-movie-recs"),
+        written(gather_recs(likes, "seed").withColumnRenamed("seed", "mid"), "like-recs"),
         written(user_recs(spark, folder, ratings, index), "stream-recs"),
     )
 
 
-@check("hybrid_recs", query("SELECT uid, mid, rank, rec_mid, score FROM hybrid", mixed=MIXED, hybrid=HYBRID))
+@check("hybrid_recs", query("SELECT uid, mid, rank, rec_mid, score FROM hybrid", **MOVIE_LIKES, mixed=MIXED, hybrid=HYBRID))
 def hybrid_recs(spark, folder):
     return serving.hybrid(*_sources(spark, folder), N)
 
@@ -123,7 +128,7 @@ def hybrid_recs(spark, folder):
     SELECT *, CAST(row_number() OVER (PARTITION BY uid, mid ORDER BY score DESC, rec_mid) AS INT) AS rank FROM (
         SELECT uid, mid, rec_mid, round(sum(score), 6) AS score FROM mixed GROUP BY uid, mid, rec_mid)
     QUALIFY rank <= {N}""",
-    mixed=MIXED,
+    **MOVIE_LIKES, mixed=MIXED,
 ))
 def hybrid_recs_dedup(spark, folder):
     return serving.hybrid(*_sources(spark, folder), N, dedupe="sum")
@@ -132,13 +137,15 @@ def hybrid_recs_dedup(spark, folder):
 @check("serve_guess", query(
     f"""
     SELECT s.*, i.name, i.avg_score FROM (
-        SELECT uid, rank, rec_mid AS mid, score, 'list' AS source FROM hybrid
+        SELECT h.uid, h.mid AS asked, h.rank, h.rec_mid AS mid, h.score, 'list' AS source
+        FROM hybrid h JOIN users u ON u.uid = h.uid
         UNION ALL
-        SELECT u.uid, g.rank, g.mid, g.score, 'genre'
+        SELECT u.uid, l.mid, g.rank, g.mid, g.score, 'genre'
         FROM users u JOIN genre_top g ON g.genres = split_part(u."prefGenres"[1], ' ', 1) AND g.rank <= {N}
+             LEFT JOIN stream_last l ON l.uid = u.uid
         WHERE len(u."prefGenres") > 0 AND u.uid NOT IN (SELECT uid FROM hybrid)) s
     JOIN info i ON i.mid = s.mid""",
-    mixed=MIXED, hybrid=HYBRID,
+    **MOVIE_LIKES, mixed=MIXED, hybrid=HYBRID,
 ))
 def serve_guess(spark, folder):
     requests, by_vector, by_content, live = _sources(spark, folder)

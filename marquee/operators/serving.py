@@ -20,8 +20,8 @@ def lookup(requests: DataFrame, recs: DataFrame, key, n) -> DataFrame:
     ``requests`` names the key column as the list table does; the rec column ``mid`` comes out as
     ``rec_mid`` when the key itself is ``mid``.
     """
-    lists = recs.select(key, S.rank_recs("recs", n).alias("recs"))
-    joined = requests.join(lists, key).select(*requests.columns, F.posexplode("recs").alias("at", "r"))
+    hit = requests.join(recs.select(key, "recs"), key)
+    joined = hit.select(*requests.columns, F.posexplode(S.rank_recs("recs", n)).alias("at", "r"))
     name = "rec_mid" if "mid" in requests.columns else "mid"
     return joined.select(
         *requests.columns, (F.col("at") + 1).alias("rank"), F.col("r.mid").alias(name), F.col("r.score").alias("score")
@@ -70,8 +70,8 @@ def hybrid(requests, factor_recs, content_recs, stream_recs, n, dedupe="none") -
     requests = requests.select("uid", "mid").distinct()
 
     def part(recs, key, share):
-        lists = recs.select(key, S.rank_recs("recs", n).alias("recs"))
-        found = requests.join(lists, key).select("uid", "mid", F.explode("recs").alias("r"))
+        hit = requests.join(recs.select(key, "recs"), key)
+        found = hit.select("uid", "mid", F.explode(S.rank_recs("recs", n)).alias("r"))
         return found.select(
             "uid", "mid", F.col("r.mid").alias("rec_mid"), S.rounded(F.col("r.score") * share).alias("score")
         )
@@ -106,27 +106,34 @@ def chosen_genre(users: DataFrame, seed=None) -> DataFrame:
     return users.select("uid", _genre_pick(seed).alias("genres")).filter(F.col("genres").isNotNull())
 
 
-def cold_start(users: DataFrame, ranked: DataFrame, genre_recs: DataFrame, n, seed=None) -> DataFrame:
+def cold_start(users: DataFrame, ranked: DataFrame, genre_recs: DataFrame, n, seed=None, requests: DataFrame = None) -> DataFrame:
     """(uid, rank, mid, score, source): ``ranked`` plus a genre's top list for users without a list.
 
-    ``ranked`` holds (uid, rank, mid, score), few per user.
+    ``ranked`` holds (uid, rank, mid, score), few per user. With ``requests`` (uid, asked), ``ranked``
+    has ``asked`` too, and every request of a user is answered apart; users without one have a null.
     """
-    own = gather_recs(ranked, "uid").withColumnRenamed("recs", "own")
+    keys = ["uid"] if requests is None else ["uid", "asked"]
+    asking = users if requests is None else users.join(requests.select(*keys).distinct(), "uid", "left")
+    own = gather_recs(ranked, keys).withColumnRenamed("recs", "own")
     tops = genre_recs.select("genres", S.rank_recs("recs", n).alias("tops"))
-    joined = users.withColumn("genres", _genre_pick(seed)).join(own, "uid", "left").join(tops, "genres", "left")
+    joined = asking.withColumn("genres", _genre_pick(seed)).join(own, keys, "left").join(tops, "genres", "left")
     served = joined.select(
-        "uid", F.when(F.col("own").isNotNull(), "list").otherwise("genre").alias("source"),
+        *keys, F.when(F.col("own").isNotNull(), "list").otherwise("genre").alias("source"),
         F.posexplode(F.coalesce("own", "tops")).alias("at", "r"),
     )
-    return served.select("uid", (F.col("at") + 1).alias("rank"), "r.mid", "r.score", "source")
+    return served.select(*keys, (F.col("at") + 1).alias("rank"), "r.mid", "r.score", "source")
 
 
 def serve_guess(requests, users, factor_recs, content_recs, stream_recs, genre_recs, movies, averages, n, seed=None):
-    """Hybrid list of each user, or a preferred genre's top list, with movie data."""
+    """Hybrid list of each request (uid, mid), or a preferred genre's top list, with movie data.
+
+    ``asked`` is the movie of the request; users without a request get the genre list and a null.
+    """
     mixed = hybrid(requests, factor_recs, content_recs, stream_recs, n).select(
-        "uid", "rank", F.col("rec_mid").alias("mid"), "score"
+        "uid", F.col("mid").alias("asked"), "rank", F.col("rec_mid").alias("mid"), "score"
     )
-    return with_movie_info(cold_start(users, mixed, genre_recs, n, seed), movies, averages)
+    asked = requests.select("uid", F.col("mid").alias("asked"))
+    return with_movie_info(cold_start(users, mixed, genre_recs, n, seed, asked), movies, averages)
 
 
 def serve_wish(users, user_recs, genre_recs, movies, averages, n, seed=None):

@@ -65,7 +65,7 @@ def genres_top_movies(movies, averages, genres=schemas.DEFAULT_GENRES, n=10) ->
 
 
 def gather_recs(ranked: DataFrame, key) -> DataFrame:
-    """(key, rank, mid, score) rows, few per key, to (key, recs)."""
+    """(key, rank, mid, score) rows, few per key (a column or several), to (key, recs)."""
     items = F.array_sort(F.collect_list(F.struct("rank", "mid", "score")))
     return ranked.groupBy(key).agg(
         F.transform(items, lambda r: F.struct(r.mid.alias("mid"), r.score.alias("score"))).alias("recs")

@@ -3,16 +3,14 @@
 from pyspark.sql import functions as F
 
 from marquee import schemas
-from marquee.operators import content, factors, similarity, statistics
+from marquee.operators import content, factors, search, serving, similarity, statistics
 from marquee.sources import delimited, streams
 from marquee.sources.tables import TableStore, search_documents
 from marquee.streaming import live, rating_log
 
-SIMILAR_KEPT = 100
-
 
 def load(store: TableStore, movies_path, ratings_path, tags_path, mode="FAILFAST"):
-    """Delimited files to Movie, Rating, Tag and SearchDocument.
+    """Delimited files to Movie, Rating, Tag, SearchDocument and its index SearchTokens.
 
     In PERMISSIVE mode unreadable lines go to MovieRejects, RatingRejects and TagRejects.
     """
@@ -30,9 +28,30 @@ def load(store: TableStore, movies_path, ratings_path, tags_path, mode="FAILFAST
         stored[name] = store.overwrite(name, rows)
     documents = search_documents(statistics.movies_with_tags(stored["Movie"], stored["Tag"]))
     stored["SearchDocument"] = store.overwrite("SearchDocument", documents)
+    stored["SearchTokens"] = index_documents(store)
     return stored
 
 
+def index_documents(store: TableStore):
+    """SearchDocument to SearchTokens, which the searches read instead of the texts."""
+    return store.overwrite("SearchTokens", search.hashed_tokens(store.read("SearchDocument"), "mid", schemas.MOVIE_TEXT))
+
+
+def search_index(store: TableStore) -> search.Index:
+    return search.Index(store.read("SearchTokens"), schemas.MOVIE_TEXT)
+
+
+def movie_search(store: TableStore, queries, n, fields=("name", "descri")):
+    """Full-text search of (query_id, text) in the stored documents."""
+    return search.multi_match(store.read("SearchDocument"), "mid", fields, queries, n, search_index(store))
+
+
+def movies_like(store: TableStore, n, seeds=None):
+    """(seed, rank, mid, score): stored documents like each of ``seeds`` (mid), over all text fields."""
+    return search.more_like_this(
+        store.read("SearchDocument"), "mid", schemas.MOVIE_TEXT, n, seeds, search_index(store))
+
+
 def compute_statistics(store: TableStore, genres=schemas.DEFAULT_GENRES):
     ratings, movies = store.read("Rating"), store.read("Movie")
     averages = store.overwrite("AverageMovies", statistics.average_movies(ratings))
@@ -48,12 +67,13 @@ def compute_statistics(store: TableStore, genres=schemas.DEFAULT_GENRES):
     }
 
 
-def store_similar(store: TableStore, name, index: similarity.SimilarItems, kept=SIMILAR_KEPT):
-    """The whole result as members and pairs, and lists of the first ``kept`` per movie for lookups."""
+def store_similar(store: TableStore, name, index: similarity.SimilarItems, kept=None):
+    """The whole result as members and pairs; lists of the first ``kept`` per movie only if asked for."""
     stored = similarity.SimilarItems(
         store.overwrite(f"{name}Members", index.members), store.overwrite(f"{name}Pairs", index.pairs)
     )
-    store.overwrite(name, similarity.neighbour_lists(stored, kept))
+    if kept is not None:
+        store.overwrite(name, similarity.neighbour_lists(stored, kept))
     return stored
 
 
@@ -61,11 +81,17 @@ def stored_similar(store: TableStore, name) -> similarity.SimilarItems:
     return similarity.SimilarItems(store.read(f"{name}Members"), store.read(f"{name}Pairs"))
 
 
-def collaborative_filtering(store: TableStore, threshold=0.6, **settings):
+def similar_movies(store: TableStore, requests, n, name="ContentMovieRecs"):
+    """Request columns with the first ``n`` similar movies, for any ``n``: read from the whole result."""
+    lists = similarity.neighbour_lists(stored_similar(store, name), n, requests)
+    return serving.lookup(requests, lists, "mid", n)
+
+
+def collaborative_filtering(store: TableStore, threshold=0.6, kept=None, **settings):
     """ALS on Rating: UserRecs, and similar movies by rating factors."""
     model = factors.train(store.read("Rating"), **settings)
     store.overwrite("UserRecs", factors.user_lists(model))
-    return store_similar(store, "MovieRecs", factors.similar_by_factors(model, threshold))
+    return store_similar(store, "MovieRecs", factors.similar_by_factors(model, threshold), kept)
 
 
 def parameter_search(store: TableStore, **grid):
@@ -74,10 +100,10 @@ def parameter_search(store: TableStore, **grid):
     return store.overwrite("AlsGrid", factors.grid_search(train_set, test_set, **grid))
 
 
-def content_similarity(store: TableStore, threshold=0.6, buckets=None):
+def content_similarity(store: TableStore, threshold=0.6, buckets=None, kept=None):
     """Similar movies by genre words; ``buckets`` hashes the words as a 50-slot vector would."""
     index = content.similar_by_content(store.read("Movie"), threshold, buckets)
-    return store_similar(store, "ContentMovieRecs", index)
+    return store_similar(store, "ContentMovieRecs", index, kept)
 
 
 def log_filter(lines, sink):

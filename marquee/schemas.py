@@ -49,6 +49,16 @@ def _keyed_recs(key, key_type):
 
 SEARCH_DOCUMENT = T.StructType(list(MOVIE.fields) + [T.StructField("tags", T.StringType())])
 
+# The text fields that a movie search looks at.
+MOVIE_TEXT = ("name", "descri", "genres", "actors", "directors", "tags")
+
+# The search index of the documents: hashed words, field after field, and the words per field.
+SEARCH_TOKENS = T.StructType([
+    T.StructField("doc", T.LongType()),
+    T.StructField("tokens", T.ArrayType(T.LongType())),
+    T.StructField("sizes", T.ArrayType(T.IntegerType())),
+])
+
 # Similar movies: the profile of each movie, and scores between profiles.
 MEMBERS = T.StructType([
     T.StructField("mid", T.IntegerType()),
@@ -70,6 +80,7 @@ TABLES = {
     "Tag": TAG,
     "User": USER,
     "SearchDocument": SEARCH_DOCUMENT,
+    "SearchTokens": SEARCH_TOKENS,
     "RateMoreMovies": T.StructType([
         T.StructField("mid", T.IntegerType()),
         T.StructField("count", T.LongType()),

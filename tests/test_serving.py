@@ -27,6 +27,23 @@ def test_cold_start(frame):
     ]
 
 
+def test_guess_answers_each_request_of_a_user_apart(frame):
+    requests = frame([(1, 10), (1, 20), (1, 30), (9, 10)], "uid int, mid int")
+    likes = frame([(10, [(5, 1.0), (6, 0.9)]), (20, [(7, 1.0)])], f"mid int, recs {RECS}")
+    none = frame([], f"mid int, recs {RECS}")
+    users = frame([(1, "a", ["X"]), (2, "b", ["X"])], USER)
+    tops = frame([("X", [(6, 1.0)])], f"genres string, recs {RECS}")
+    movies = frame([(i, f"m{i}") for i in range(5, 8)], "mid int, name string")
+    averages = frame([(5, 2.0)], "mid int, avg double")
+    live = none.withColumnRenamed("mid", "uid")
+    got = serving.serve_guess(requests, users, none, likes, live, tops, movies, averages, 2)
+    found = got.selectExpr("uid", "coalesce(asked, -1) asked", "rank", "mid", "score", "source", "name", "avg_score")
+    assert rows(found) == [
+        (1, 10, 1, 5, 0.3, "list", "m5", 2.0), (1, 10, 2, 6, 0.27, "list", "m6", 0.0), (1, 20, 1, 7, 0.3, "list", "m7", 0.0),
+        (1, 30, 1, 6, 1.0, "genre", "m6", 0.0), (2, -1, 1, 6, 1.0, "genre", "m6", 0.0),
+    ]
+
+
 def test_seeded_genre_is_one_of_the_preferences(frame):
     users = frame([(i, str(i), ["A", "B", "C"]) for i in range(40)], USER)
     picks = dict(rows(serving.chosen_genre(users, seed=7)))

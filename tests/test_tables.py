@@ -142,9 +142,15 @@ def test_batch_jobs(spark, tmp_path):
     jobs.compute_statistics(store)
     assert store.read("RateMoreMovies").count() == 12
     assert {r.genres for r in store.read("GenresTopMovies").collect()} == {"Action", "Drama", "Comedy", "War"}
-    jobs.content_similarity(store)
+    jobs.content_similarity(store, kept=5)
     lists = {r.mid: [x.mid for x in r.recs] for r in store.read("ContentMovieRecs").collect()}
-    assert set(lists[0]) >= {1, 4, 5, 8, 9}
+    assert set(lists[0]) == {1, 4, 5, 8, 9}
+    asked = store.read("Movie").select("mid").filter("mid = 0")
+    near = {n: {r.rec_mid for r in jobs.similar_movies(store, asked, n).collect()} for n in (2, 5, 50)}
+    assert near[2] == {1, 4} and near[5] == set(lists[0]) and near[50] >= near[5]
+    queries = store.read("Movie").filter("mid = 3").selectExpr("'q' as query_id", "name as text")
+    assert [r.mid for r in jobs.movie_search(store, queries, 5).collect()] == [3]
+    assert jobs.movies_like(store, 5).count() == 0  # no word stands twice in a field
     index = jobs.collaborative_filtering(store, rank=3)
     assert index.members.count() == 12 and store.read("UserRecs").count() > 0
     grid = jobs.parameter_search(store, ranks=(2, 3), regs=(0.1,))

@@ -103,6 +103,7 @@ def live_lists(index: SimilarItems, events, seen, recent, mode="counted", n=CAND
     return user_lists(events, priority_scores(index, candidates, recent, mode))
 
 
-def latest_lists(results: DataFrame, key="uid", batch="batch_id") -> DataFrame:
+def latest_lists(results: DataFrame, key="uid", batch="batch_id", keep_batch=False) -> DataFrame:
     """The row of the newest batch per key: the read side of an append-only upsert."""
-    return results.groupBy(key).agg(F.max_by("recs", batch).alias("recs"))
+    number = [F.max(batch).alias(batch)] if keep_batch else []
+    return results.groupBy(key).agg(F.max_by("recs", batch).alias("recs"), *number)

@@ -11,12 +11,16 @@ class TableStore:
 
     An overwrite writes a new version folder next to the old one. Readers take the newest
     version that carries Spark's ``_SUCCESS`` marker, so they never see a missing or a
-    half-written table, and a job that dies leaves the previous version in place.
+    half-written table, and a job that dies leaves the previous version in place. With ``keep`` an
+    overwrite leaves only that many versions; one more than readers may still be reading is safe.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, keep: int | None = None):
+        if keep is not None and keep < 1:
+            raise ValueError("the newest version has to stay")
         self.spark = spark
         self.root = root.rstrip("/")
+        self.keep = keep
 
     def _files(self, path):
         hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -24,17 +28,18 @@ class TableStore:
 
     def versions(self, name):
         """Numbers of the complete versions of a table, ascending."""
-        folder, fs = self._files(f"{self.root}/{name}")
-        if not fs.exists(folder):
-            return []
         found = []
-        for entry in fs.listStatus(folder):
-            version = entry.getPath().getName()
-            marker, _ = self._files(f"{self.root}/{name}/{version}/_SUCCESS")
+        for version in self.names(f"{self.root}/{name}"):
+            marker, fs = self._files(f"{self.root}/{name}/{version}/_SUCCESS")
             if version.startswith("v") and fs.exists(marker):
                 found.append(int(version[1:]))
         return sorted(found)
 
+    def names(self, path):
+        """Names in a folder; none if there is no such folder."""
+        folder, fs = self._files(path)
+        return [e.getPath().getName() for e in fs.listStatus(folder)] if fs.exists(folder) else []
+
     def path(self, name, version=None):
         known = self.versions(name)
         if not known:
@@ -47,14 +52,25 @@ class TableStore:
     def read(self, name, schema=None) -> DataFrame:
         return self.spark.read.schema(schema or TABLES[name]).parquet(self.path(name))
 
-    def overwrite(self, name, df: DataFrame, partition_by=()) -> DataFrame:
-        """Replace a table and return it as read back; columns follow the fixed schema."""
+    def remove(self, path):
+        folder, fs = self._files(path)
+        fs.delete(folder, True)
+
+    def overwrite(self, name, df: DataFrame, partition_by=(), version=None) -> DataFrame:
+        """Replace a table and return it as read back; columns follow the fixed schema.
+
+        ``version`` numbers the new version, else it is the next one.
+        """
         known = self.versions(name)
-        target = f"{self.root}/{name}/v{(known[-1] if known else 0) + 1:08d}"
+        version = version or (known[-1] if known else 0) + 1
+        target = f"{self.root}/{name}/v{version:08d}"
         schema = TABLES.get(name, df.schema)
         fixed = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
         # A folder without the marker is what a dead writer left; "overwrite" replaces it.
         fixed.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
+        if self.keep is not None:
+            for old in sorted({*known, version})[: -self.keep]:
+                self.remove(f"{self.root}/{name}/v{old:08d}")
         return self.spark.read.schema(schema).parquet(target)
 
 

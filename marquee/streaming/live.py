@@ -5,9 +5,11 @@ from pyspark.sql import functions as F
 
 from marquee import schemas
 from marquee.operators.online import HISTORY_READ, last_events, latest_lists, live_lists, recent_ratings
+from marquee.sources.tables import TableStore
 
 TRIGGER = "2 seconds"
 HISTORY = "uid int, mid int, score double, timestamp int, bucket int, batch_id long"
+LISTS = "uid int, recs array<struct<mid:int,score:double>>, batch_id long"
 
 
 class LiveLists:
@@ -17,16 +19,20 @@ class LiveLists:
     a batch twice changes nothing. ``load_index`` and ``load_ratings`` are called for each batch:
     a similarity table or rating table that was replaced in between takes effect. The history is
     laid out in ``buckets`` of users; a batch reads those of its own users. More buckets suit a longer
-    history with smaller batches.
+    history with smaller batches. Every ``compact_every`` batches the older batches are merged, so that
+    the number of folders and files stays bounded however long the job runs.
     """
 
-    def __init__(self, spark, root, load_index, load_ratings=None, mode="counted", buckets=8):
+    def __init__(self, spark, root, load_index, load_ratings=None, mode="counted", buckets=8, compact_every=500):
         self.spark = spark
         self.root = root.rstrip("/")
         self.load_index = load_index
         self.load_ratings = load_ratings
         self.mode = mode
         self.buckets = buckets
+        self.compact_every = compact_every
+        # Version n of a merged table holds the batches below n. A reader may still use the one before.
+        self.merged = TableStore(spark, f"{self.root}/merged", keep=2)
 
     @property
     def history_path(self):
@@ -36,6 +42,36 @@ class LiveLists:
     def lists_path(self):
         return f"{self.root}/lists"
 
+    def _batches(self, name, path, schema) -> DataFrame:
+        """All rows written so far: the merged batches and the later ones."""
+        rows = self.spark.read.schema(schema).parquet(path)
+        done = self.merged.versions(name)
+        if not done:
+            return rows
+        later = rows.filter(F.col("batch_id") >= done[-1])
+        return later.unionByName(self.merged.read(name, rows.schema))
+
+    def compact(self, below):
+        """Merges all batches below ``below``, which must be finished; repeating it changes nothing.
+
+        Batch folders that an earlier merge covers go. A merge that dies is not seen by readers.
+        """
+        done = self.merged.versions("history")
+        if below not in done:
+            rows = self._batches("history", self.history_path, HISTORY).filter(F.col("batch_id") < below)
+            # A bucket of any size is split over tasks.
+            self.merged.overwrite("history", rows.hint("rebalance", "bucket"), ("bucket",), version=below)
+        if below not in self.merged.versions("lists"):
+            rows = self._batches("lists", self.lists_path, LISTS).filter(F.col("batch_id") < below)
+            self.merged.overwrite("lists", latest_lists(rows, keep_batch=True), version=below)
+        earlier = [v for v in done if v < below]
+        if earlier:
+            for path in (self.history_path, self.lists_path):
+                for old in self.merged.names(path):
+                    number = old.partition("batch_id=")[2]
+                    if number and int(number) < earlier[-1]:
+                        self.merged.remove(f"{path}/{old}")
+
     def history(self, before=None, buckets=None, users=None) -> DataFrame:
         """Ratings written so far, plus the stored ratings when there are any.
 
@@ -43,7 +79,7 @@ class LiveLists:
         rows. An event that the rating ingest has stored meanwhile counts once.
         """
         of_users = lambda rows: rows if users is None else rows.join(users, "uid", "left_semi")
-        rows = self.spark.read.schema(HISTORY).parquet(self.history_path)
+        rows = self._batches("history", self.history_path, HISTORY)
         if before is not None:
             rows = rows.filter(F.col("batch_id") <= before)
         if buckets is not None:
@@ -56,6 +92,8 @@ class LiveLists:
 
     def __call__(self, ratings: DataFrame, batch_id: int):
         """Handler for ``foreachBatch``: the batch joins the history before lists are computed."""
+        if batch_id and batch_id % self.compact_every == 0:
+            self.compact(batch_id)
         mine = f"{self.history_path}/batch_id={batch_id}"
         bucket = F.pmod(F.xxhash64("uid"), F.lit(self.buckets)).cast("int")
         ratings.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(mine)
@@ -77,10 +115,7 @@ class LiveLists:
 
     def latest(self) -> DataFrame:
         """(uid, recs): the newest list of each user."""
-        rows = self.spark.read.schema(
-            "uid int, recs array<struct<mid:int,score:double>>, batch_id long"
-        ).parquet(self.lists_path)
-        return latest_lists(rows)
+        return latest_lists(self._batches("lists", self.lists_path, LISTS))
 
     def writer(self, ratings: DataFrame, checkpoint, trigger=TRIGGER):
         return (

@@ -50,6 +50,22 @@ def test_replayed_batch_changes_nothing(spark, tmp_path, frame):
     assert lists(handler.latest()) == before and rows(handler.history()) == history_rows
 
 
+def test_merged_batches_change_nothing(spark, tmp_path, frame):
+    make = lambda name, **options: LiveLists(spark, str(tmp_path / name), lambda: small_index(frame), **options)
+    plain, merging = make("plain"), make("merging", compact_every=2)
+    for number, rating in enumerate(sorted(RATINGS, key=lambda r: r[3])):
+        for handler in (plain, merging):
+            handler(frame([rating], RATING), number)
+    merging(frame([rating], RATING), number)  # a replay
+    merging.compact(6)
+    assert rows(merging.history()) == rows(plain.history())
+    assert lists(merging.latest()) == lists(plain.latest())
+    assert rows(merging.history(before=3)) == rows(plain.history(before=3))
+    left = sorted(p.name for p in (tmp_path / "merging" / "history").iterdir() if p.is_dir())
+    assert left == [f"batch_id={n}" for n in range(4, 8)]
+    assert merging.merged.versions("history") == merging.merged.versions("lists") == [4, 6]
+
+
 def test_stored_ratings_count_as_seen(spark, tmp_path, frame):
     stored = frame([(1, 2, 4.0, 0), (1, 3, 4.0, 0)], RATING)
     handler = LiveLists(spark, str(tmp_path), lambda: small_index(frame), lambda: stored)

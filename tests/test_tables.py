@@ -164,3 +164,11 @@ def test_strict_scans_fail_on_an_empty_number(spark, tmp_path, reader, line):
     spark.createDataFrame([(line,)], "value string").write.text(str(tmp_path / "lines"))
     with pytest.raises(Exception, match="a line has no mid"):
         reader(spark, str(tmp_path / "lines")).collect()
+
+
+def test_old_versions_go(spark, tmp_path, frame):
+    store = TableStore(spark, str(tmp_path), keep=2)
+    for n in range(4):
+        store.overwrite("numbers", frame([(n,)], "n int"))
+    assert store.versions("numbers") == [3, 4]
+    assert rows(store.read("numbers", store.overwrite("numbers", frame([(9,)], "n int")).schema)) == [(9,)]

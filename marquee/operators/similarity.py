@@ -13,6 +13,7 @@ Together they hold every similar pair of items without ever writing the square o
 copies. Lists, counts and candidates are read from the two tables.
 """
 
+import math
 from typing import NamedTuple
 
 import numpy as np
@@ -28,7 +29,6 @@ DIGITS = 6
 # Ids are long inside; results have the id type of their input.
 PAIR = "pid long, other long, score double"
 STRIP = 512
-MAX_PIVOTS = 512
 # Members of a profile are numbered in stretches of this many consecutive mids.
 STRETCH = 4096
 # Ranked members are fetched in blocks of this many ranks.
@@ -74,12 +74,9 @@ def dense_pairs(vectors: DataFrame, threshold, block_rows=2048) -> DataFrame:
     longs = vectors.select(F.col("pid").cast("long").alias("pid"), "vec")
     unit = written(unit_vectors(longs), "unit-vectors")
     size = unit.count()
-    wanted = min(MAX_PIVOTS, max(1, -(-size // block_rows)))
+    # One home per block of rows, and no more than the square root of the rows: pivots reach the driver.
+    wanted = max(1, min(-(-size // block_rows), math.isqrt(size)))
     pivots = _pivots(unit, wanted)
-    if len(pivots) < 2:
-        homes = _placed(unit.withColumn("grp", F.lit(0)).withColumn("chunks", F.lit(-(-size // block_rows) or 1)))
-        return _both_ways(_rounded(_within(homes, threshold), threshold), id_type)
-
     homed = written(_nearest(unit, pivots), "homes")
     radii = {r["grp"]: r["radius"] for r in homed.groupBy("grp").agg(F.max("angle").alias("radius")).collect()}
     reach = np.array([radii.get(b, -np.inf) for b in range(len(pivots))]) + np.arccos(np.clip(threshold, -1, 1))
@@ -90,9 +87,9 @@ def dense_pairs(vectors: DataFrame, threshold, block_rows=2048) -> DataFrame:
 
 
 def _pivots(unit, wanted):
-    """At most MAX_PIVOTS vectors, chosen by hash order so that a rerun picks the same."""
+    """``wanted`` vectors, chosen by hash order so that a rerun picks the same."""
     rows = unit.orderBy(F.xxhash64("pid"), "pid").limit(wanted).select("vec").collect()
-    return np.unique(np.array([r["vec"] for r in rows]), axis=0)
+    return np.unique(np.array([r["vec"] for r in rows]), axis=0) if rows else np.zeros((0, 1))
 
 
 def _angles(vecs, pivots):
@@ -240,10 +237,10 @@ def sparse_pairs(weights: DataFrame, threshold, block_rows=512) -> DataFrame:
         F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
     )
     terms = vectors.withColumn("terms", F.expr("transform(raw, x -> struct(x.t AS t, x.w / norm AS w))"))
-    rest = "1 - aggregate(slice(terms, 1, i), 0D, (acc, y) -> acc + y.w * y.w)"
-    prefixed = terms.withColumn(
-        "prefix", F.expr(f"filter(terms, (x, i) -> {rest} >= {threshold * threshold - 1e-9})")
-    )
+    # One running sum of squares tells how many leading terms belong to the prefix.
+    leading = f"""aggregate(terms, struct(0 AS n, 0D AS used), (acc, y) -> struct(
+        acc.n + IF(1 - acc.used >= {threshold * threshold - 1e-9}, 1, 0) AS n, acc.used + y.w * y.w AS used)).n"""
+    prefixed = terms.withColumn("prefix", F.expr(f"slice(terms, 1, {leading})"))
     posted = prefixed.select(
         F.explode("prefix.t").alias("grp"), "pid",
         F.col("terms.t").alias("idx"), F.col("terms.w").alias("val"),

@@ -64,19 +64,15 @@ def _covered(starts):
     return F.aggregate(starts, zero, step, lambda acc: acc["n"])
 
 
-def _histograms(rows, fold=False):
-    """Adds ``classes`` (counts by class), ``seen`` (common words met) and ``uses`` (their counts).
-
-    ``fold`` lower-cases the words first.
-    """
+def _histograms(rows):
+    """Adds ``classes`` (counts by class), ``seen`` (common words met) and ``uses`` (their counts)."""
     text = F.coalesce("text", F.lit(""))
     chars = F.length(text)
     rows = bound(rows, word_chars=F.length(F.array_join("words", "")))
     blank, high = chars - F.col("word_chars"), F.octet_length(text) - chars
     rows = bound(rows, counted=F.array(*[F.regexp_count(text, F.lit(p)) for p in PATTERNS], blank, high))
     rest = F.greatest(chars - F.aggregate("counted", F.lit(0), lambda acc, x: acc + x), F.lit(0))
-    lower = F.transform("words", F.lower) if fold else F.col("words")
-    rows = bound(rows, common=F.filter(lower, lambda w: w.isin(COMMON_WORDS)))
+    rows = bound(rows, common=F.filter(F.transform("words", F.lower), lambda w: w.isin(COMMON_WORDS)))
     rows = bound(rows, seen=F.array_distinct("common"))
     uses = F.transform("seen", lambda w: F.size("common") - F.size(F.array_remove("common", w)))
     # The empty string stands for any other word.
@@ -86,13 +82,12 @@ def _histograms(rows, fold=False):
     }).withColumn("seen", F.concat("seen", F.array(F.lit(""))))
 
 
-def references(documents: DataFrame) -> DataFrame:
-    """Per language: shares of the classes and of the common words over all its texts.
+def references(measured: DataFrame) -> DataFrame:
+    """Per language: shares of the classes and of the common words over all its measured texts.
 
     One small row per value of ``lang`` (null is a value), from sums that are taken before shuffling.
     """
-    rows = documents.select("lang", F.lower("text").alias("lowered"), "text")
-    rows = _histograms(bound(rows, words=words_of("lowered")).drop("lowered"))
+    rows = measured.select("lang", "classes", "seen", "uses")
     number = F.transform("classes", lambda c, i: F.struct(i.cast("string").alias("key"), c.alias("uses")))
     word = F.transform(F.arrays_zip("seen", "uses"), lambda w: F.struct(
         F.concat(F.lit("="), w["seen"]).alias("key"), w["uses"].alias("uses")))
@@ -121,18 +116,15 @@ def _distance(shares, reference):
     return F.aggregate(met, zero, add, lambda acc: F.sqrt(F.greatest((acc["d"] + F.greatest(1 - acc["q"], F.lit(0.0))) / 2, F.lit(0.0))))
 
 
-def judge(documents: DataFrame, reference: DataFrame) -> DataFrame:
-    """All rows of ``documents`` with the base counts, both distances, ``base_failed`` and ``kept``.
+def measure(documents: DataFrame) -> DataFrame:
+    """All rows of ``documents`` with the base counts, ``base_failed``, ``chars`` and the histograms.
 
-    ``kept`` is false if the base rules fail, or if a text of ``MIN_CHARS`` characters has a class
-    distance above ``MAX_CLASS_DISTANCE``, or one of ``MIN_WORDS`` words a word distance above
-    ``MAX_WORD_DISTANCE``. Null, empty and blank texts have no words and fail the base rules; a null
-    language is a language of its own. Columns of the input that are named like one of this
-    function's are replaced.
+    The histograms are ``classes``, and ``seen`` with ``uses``. Null, empty and blank texts have no words
+    and fail the base rules. Columns of the input that are named like one of this module's are replaced.
     """
     own = ["words", "n", "shift", "packed", "starts", "lines", "word_chars", "counted", "common", "seen", "classes",
-           "uses", "ref_lang", "ref_classes", "ref_words", "n_words", "n_symbols", "n_dup_lines", "n_repeat_words",
-           "class_distance", "word_distance", "base_failed", "kept"]
+           "uses", "chars", "ref_lang", "ref_classes", "ref_words", "n_words", "n_symbols", "n_dup_lines",
+           "n_repeat_words", "class_distance", "word_distance", "base_failed", "kept"]
     rows = bound(documents.drop(*own), words=words_of("text"))
     rows = bound(rows, n=F.size("words"))
     rows = bound(rows, shift=F.length(F.bin("n")))
@@ -141,28 +133,43 @@ def judge(documents: DataFrame, reference: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     worded = lambda line: F.length(F.translate(line, " \t\n\x0b\x0c\r", "")) > 0
     rows = bound(rows, lines=F.filter(F.split(text, "\n"), worded))
-    rows = _histograms(rows, fold=True).withColumns({
+    rows = bound(rows, n_repeat_words=_covered(F.col("starts")))
+    return _histograms(rows).withColumns({
         "n_words": F.col("n").cast("long"),
         "word_chars": F.col("word_chars").cast("long"),
         "n_symbols": (F.get("counted", F.lit(3)) + F.get("counted", F.lit(4))).cast("long"),
         "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
-        "n_repeat_words": _covered(F.col("starts")),
-    }).drop("words", "packed", "starts", "lines")
-    rows = rows.join(reference, rows["lang"].eqNullSafe(F.col("ref_lang")), "left")
+        "chars": F.length(text),
+        "base_failed": (F.col("n") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n")),
+    }).drop("words", "packed", "starts", "lines", "n", "shift", "counted", "common")
+
+
+def judge(measured: DataFrame, reference: DataFrame) -> DataFrame:
+    """The rows of ``measure`` with both distances and ``kept`` in place of the histograms.
+
+    ``kept`` is false if the base rules fail, or if a text of ``MIN_CHARS`` characters has a class
+    distance above ``MAX_CLASS_DISTANCE``, or one of ``MIN_WORDS`` words a word distance above
+    ``MAX_WORD_DISTANCE``. A null language is a language of its own.
+    """
+    rows = measured.join(reference, measured["lang"].eqNullSafe(F.col("ref_lang")), "left")
     share = lambda counts: F.transform(counts, lambda c: c / F.greatest(
         F.aggregate(counts, F.lit(0).cast("long"), lambda acc, x: acc + x), F.lit(1)))
     expected = F.transform("seen", lambda w: F.coalesce(F.element_at("ref_words", w), F.lit(0.0)))
     rows = rows.withColumns({
         "class_distance": _distance(share("classes"), F.col("ref_classes")),
         "word_distance": _distance(share("uses"), expected),
-        "base_failed": (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")),
     })
-    odd = (F.length(text) >= MIN_CHARS) & (F.col("class_distance") > MAX_CLASS_DISTANCE)
+    odd = (F.col("chars") >= MIN_CHARS) & (F.col("class_distance") > MAX_CLASS_DISTANCE)
     foreign = (F.col("n_words") >= MIN_WORDS) & (F.col("word_distance") > MAX_WORD_DISTANCE)
     return rows.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(odd, F.lit(False)) & ~F.coalesce(foreign, F.lit(False))).drop(
-        "n", "shift", "counted", "common", "seen", "classes", "uses", "ref_lang", "ref_classes", "ref_words")
+        "chars", "seen", "classes", "uses", "ref_lang", "ref_classes", "ref_words")
+
 
+def quality(documents: DataFrame, with_text=True) -> DataFrame:
+    """The documents, with or without their text, judged by the references of the same documents.
 
-def quality(documents: DataFrame) -> DataFrame:
-    """``judge`` against the references of the same documents."""
-    return judge(documents, written(references(documents), "references"))
+    Texts are read once: the references are summed from the measures, which are written.
+    """
+    measured = measure(documents)
+    measured = written(measured if with_text else measured.drop("text"), "measures")
+    return judge(measured, written(references(measured), "references"))

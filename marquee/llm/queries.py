@@ -51,7 +51,7 @@ def op3(spark, folder):
 @query("op4_divergence", sql.DIVERGENCE)
 def op4(spark, folder):
     documents = table(spark, folder, "documents").select("doc_id", "lang", "text")
-    return divergence.quality(documents).select(
+    return divergence.quality(documents, with_text=False).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         F.round("class_distance", 6).alias("class_distance"), F.round("word_distance", 6).alias("word_distance"),
     )

@@ -24,8 +24,8 @@ COMMON_WORDS = (
 # (lower-case letters, above all) follow from lengths. The fourth and fifth are the rules' symbols.
 PATTERNS = ("[A-Z]", "[0-9]", "[.,;:?'\"()-]", "[#*$%&<>]", "[|]", "[!]")
 
-MIN_CHARS = 700
 MIN_WORDS = 50
+MIN_CHARS = 2 * MIN_WORDS - 1  # the least that so many words can have: each text past the base rules is judged
 MAX_CLASS_DISTANCE = 0.2
 MAX_WORD_DISTANCE = 0.4
 

@@ -183,6 +183,18 @@ def test_odd_characters_are_rejected(spark):
     assert all(found[i].class_distance < 0.15 for i in range(40))
 
 
+def test_short_texts_with_odd_characters_are_rejected(spark):
+    plain = "the man and the dog of that house went to the sea for a day with you. " * 4
+    pick = random.Random(5)
+    varied = [" ".join(pick.sample(plain.split(), len(plain.split()))) for _ in range(40)]
+    odd = " ".join(w if w in divergence.COMMON_WORDS else w + "***" for w in varied[0].split())
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate([*varied, odd])]
+    found = {r.doc_id: r for r in divergence.quality(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert len(odd) < 700 and not found[40].base_failed and found[40].word_distance < 0.2
+    assert not found[40].kept
+    assert sum(found[i].kept for i in range(40)) == sum(not found[i].base_failed for i in range(40)) > 30
+
+
 def test_forward_backward_is_exact():
     draw = np.random.default_rng(0)
     k, lengths = 3, [1, 4, 2, 5]

@@ -195,6 +195,19 @@ def test_short_texts_with_odd_characters_are_rejected(spark):
     assert sum(found[i].kept for i in range(40)) == sum(not found[i].base_failed for i in range(40)) > 30
 
 
+def test_texts_without_common_words_are_rejected(spark):
+    pick = random.Random(9)
+    letters = [chr(97 + i) for i in range(26)]
+    random_word = lambda: "".join(pick.choice(letters) for _ in range(pick.randint(2, 6))) + "q"
+    body = lambda n, common: " ".join(pick.choice(("the", "of", "and", "to")) if pick.random() < common else random_word() for _ in range(n))
+    rows = [(i, body(400, 0.22), "en", "s", 0) for i in range(60)] + [(100, body(400, 0), "en", "s", 0), (101, body(60, 0), "en", "s", 0)]
+    found = {r.doc_id: r for r in divergence.quality(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(found[i].kept for i in range(60))
+    for i in (100, 101):
+        assert not found[i].base_failed and found[i].class_distance < divergence.MAX_CLASS_DISTANCE
+        assert 0.3 < found[i].word_distance < 0.4 and not found[i].kept
+
+
 def test_forward_backward_is_exact():
     draw = np.random.default_rng(0)
     k, lengths = 3, [1, 4, 2, 5]

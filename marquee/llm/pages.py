@@ -7,7 +7,9 @@ task, and the slices' runs are summed by hash, so a host of any size is spread o
 
 What the markup says comes first. Blocks inside menus, headers, footers, adverts and the like go.
 Inside an explicit article a repeat is mostly a copied article or a quoted passage, not boilerplate,
-and only goes if it is on most pages of a large host. On pages without one, every repeated run goes.
+and only goes if it is on most pages of a large host. On pages without one, a run goes if it is surely on
+most bodies of the host: pages that hold enough text besides what most pages of the host hold. Near copies
+that make up most of a host are no bodies, so they are no witnesses against their own text.
 """
 
 import html
@@ -26,6 +28,8 @@ RUN_WORDS = 8
 RUN_BLOCKS = 8
 SITE_PAGES = 20  # pages from which on a host's own notices can be told from articles
 SITE_SHARE = 0.5
+OWN_SHARE = 0.25  # of a page's words, not found on most pages of its host, from which on it is a body
+CONFIDENCE = 1.64  # standard errors of the share of bodies
 
 # Element names of HTML and words that sites use for what is not the article.
 RAW = "script|style|noscript|template|svg|iframe|textarea|select|title|object|math"
@@ -174,6 +178,11 @@ def _digest(texts):
     return np.array([xxhash.xxh64_intdigest(t.encode()) for t in texts], dtype=np.uint64)
 
 
+def _whole(stream):
+    """Digest of a page's list of blocks."""
+    return mix(stream * np.uint64(3) + np.arange(len(stream), dtype=np.uint64)).sum(dtype=np.uint64)
+
+
 def _parsed(batch):
     return [blocks(x or "") for x in batch.column("html").to_pylist()]
 
@@ -189,8 +198,7 @@ def _host_runs(batches):
         for host, numbers in by_host.items():
             streams = [_digest([t for _, t in pages[n]]) for n in numbers]
             sizes = [np.array([t.count(" ") + 1 for _, t in pages[n]], dtype=np.int64) for n in numbers]
-            whole = np.array([mix(s * np.uint64(3) + np.arange(len(s), dtype=np.uint64)).sum(dtype=np.uint64) for s in streams],
-                             dtype=np.uint64)
+            whole = np.array([_whole(s) for s in streams], dtype=np.uint64)
             page, _, run, _ = runs(streams, sizes)
             pairs = np.unique(np.column_stack([run, page.astype(np.uint64)]), axis=0)
             kinds, first, many = np.unique(pairs[:, 0], return_index=True, return_counts=True)
@@ -208,17 +216,20 @@ def _page_runs(batches):
     """Each page's blocks, and the run that starts at each of them (0: none) with its length."""
     for batch in slices(batches, "html", 4 << 20):
         found = _parsed(batch)
-        names, lengths = [], []
+        names, digests = [], []
         for page in found:
-            own = [_digest([t for _, t in page])]
-            _, at, run, length = runs(own, [np.array([t.count(" ") + 1 for _, t in page], dtype=np.int64)])
-            names.append([(int(p), int(r), int(n)) for p, r, n in zip(at, run.view(np.int64) if len(run) else run, length)])
+            own, size = _digest([t for _, t in page]), np.array([t.count(" ") + 1 for _, t in page], dtype=np.int64)
+            _, at, run, length = runs([own], [size])
+            names.append([(int(p), int(r), int(n), int(size[p])) for p, r, n in zip(at, run.view(np.int64) if len(run) else run, length)])
+            digests.append(int(_whole(own).view(np.int64)))
         yield pa.RecordBatch.from_arrays([
             batch.column("u1"), batch.column("u2"), batch.column("host"),
             pa.array([bool(p) and p[0][0] == ARTICLE for p in found]),
-            pa.array([[dict(at=a, run=r, blocks=b) for a, r, b in own] for own in names],
-                     pa.list_(pa.struct([("at", pa.int32()), ("run", pa.int64()), ("blocks", pa.int32())]))),
-        ], names=["u1", "u2", "host", "article", "runs"])
+            pa.array(digests, pa.int64()),
+            pa.array([sum(words for *_, words in own) for own in names], pa.int64()),
+            pa.array([[dict(at=a, run=r, blocks=b, words=w) for a, r, b, w in own] for own in names],
+                     pa.list_(pa.struct([("at", pa.int32()), ("run", pa.int64()), ("blocks", pa.int32()), ("words", pa.int64())]))),
+        ], names=["u1", "u2", "host", "article", "digest", "total", "runs"])
 
 
 def _texts(batches):
@@ -233,6 +244,32 @@ def _texts(batches):
             names=[*(c for c in batch.schema.names if c not in ("html", "gone")), "text"])
 
 
+def _lower(hits, of):
+    """Lower Wilson bound of a share."""
+    p, z = hits / of, CONFIDENCE ** 2 / of
+    return (p + z / 2 - CONFIDENCE * F.sqrt((p * (1 - p) + z / 4) / of)) / (1 + z)
+
+
+def _judged(own, shared):
+    """``boilerplate`` of each (host, run) of ``shared``: whether it is surely on most bodies of its host.
+
+    Pages with equal blocks count once. ``own`` has a row for each page, ``shared`` one for each repeated run in it.
+    """
+    sites = own.filter("total > 0").select("host", "digest").distinct().groupBy("host").agg(F.count("*").alias("distinct_pages"))
+    pairs = written(shared.groupBy("host", "digest", "run").agg(
+        F.max("total").alias("total"), F.countDistinct("at").alias("times"), F.max("words").alias("words")), "pairs")
+    found = pairs.groupBy("host", "run").agg(F.count("*").alias("on")).join(sites, "host")
+    common = written(found.filter(F.col("on") > SITE_SHARE * F.col("distinct_pages")).select("host", "run", "distinct_pages"), "common")
+    held = pairs.join(common, ["host", "run"])
+    pages = written(held.groupBy("host", "digest").agg(
+        (F.max("total") - F.sum(F.col("words") * F.col("times")) < OWN_SHARE * F.max("total")).alias("copy")), "page-kinds")
+    copies = pages.filter("copy").groupBy("host").agg(F.count("*").alias("copies"))
+    hits = held.join(pages.filter("not copy"), ["host", "digest"]).groupBy("host", "run").agg(
+        F.count("*").alias("hits"), F.max("distinct_pages").alias("distinct_pages")).join(copies, "host", "left")
+    bodies = F.col("distinct_pages") - F.coalesce("copies", F.lit(0))
+    return hits.filter(_lower(F.col("hits"), bodies) > SITE_SHARE).select("host", "run", F.lit(True).alias("boilerplate"))
+
+
 def main_text(pages: DataFrame) -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` of every row of ``pages``.
 
@@ -252,10 +289,14 @@ def main_text(pages: DataFrame) -> DataFrame:
     hosts = written(keyed.groupBy("host").agg(F.count("*").alias("site")), "hosts")
     repeated = written(repeated.join(hosts, "host").select(
         "host", "run", ((F.col("site") >= SITE_PAGES) & (F.col("pages") > SITE_SHARE * F.col("site"))).alias("sitewide")), "repeats")
-    own = keyed.select("u1", "u2", "host", "html").mapInArrow(
-        _page_runs, "u1 long, u2 int, host string, article boolean, runs array<struct<at int, run long, blocks int>>")
-    own = own.select("u1", "u2", "host", "article", F.inline("runs"))
-    covered = own.join(repeated, ["host", "run"]).filter("sitewide or not article")
+    own = written(keyed.select("u1", "u2", "host", "html").mapInArrow(
+        _page_runs, "u1 long, u2 int, host string, article boolean, digest long, total long, "
+        "runs array<struct<at int, run long, blocks int, words bigint>>"), "page-runs")
+    started = own.select("u1", "u2", "host", "article", "digest", "total", F.inline("runs"))
+    shared = written(started.join(repeated, ["host", "run"]), "shared")
+    judged = written(_judged(own, shared), "judged")
+    covered = shared.join(judged, ["host", "run"], "left").filter(
+        (F.col("article") & F.col("sitewide")) | (~F.col("article") & F.coalesce("boilerplate", F.lit(False))))
     gone = written(covered.select("u1", "u2", "at", "blocks").distinct().groupBy("u1", "u2").agg(
         F.collect_list(F.struct("at", "blocks")).alias("gone")), "gone")
     rows = keyed.join(gone, ["u1", "u2"], "left").select("page_id", "url", "html", "gone")

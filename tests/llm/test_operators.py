@@ -332,6 +332,23 @@ def test_repeated_runs_go_where_no_article_is_marked(spark):
     assert pages.main_text(frame.limit(0)).count() == 0
 
 
+def test_near_copies_and_quotes_stay_where_no_article_is_marked(spark):
+    part = lambda name, i: f"<div>Part {i} of {name} with quite enough words to make up a run of its own</div>"
+    page = lambda name, *more: "<body>" + "".join(more) + "".join(part(name, i) for i in range(6)) + "</body>"
+    near = [(i, f"http://near.a/{i}", page("the one story", f"<div>Printed on day {i} of the month</div>")) for i in range(6)]
+    quote = "<div>A passage that two of the pages of this host both quote in full</div>"
+    notice = "<div>This site is run by the friends of old mills and barns</div>"
+    mixed = [(100 + i, f"http://mixed.a/{i}", page(f"story {i}", notice, quote if i < 2 else "")) for i in range(8)]
+    mixed += [(200 + i, f"http://mixed.a/c{i}", page("the copied story", f"<div>Printed on day {i} of the month</div>", notice)) for i in range(10)]
+    frame = spark.createDataFrame(near + mixed, "page_id long, url string, html string").repartition(3)
+    found = {r.page_id: r.text for r in pages.main_text(frame).collect()}
+    whole = lambda rows: {i: "\n\n".join(t for _, t in pages.blocks(html)) for i, _, html in rows}
+    assert {i: found[i] for i, *_ in near} == whole(near)
+    own = "This site is run by the friends of old mills and barns\n\n"
+    assert {i: found[i] for i, *_ in mixed} == {i: t.replace(own, "") for i, t in whole(mixed).items()}
+    assert "both quote" in found[100] and "friends of old mills" not in found[205]
+
+
 def test_token_counts(docs, empty, spark):
     with open(tokens.VOCABULARY, "rb") as f:
         encode = tokens.encoder(f.read()).encode_ordinary

@@ -40,6 +40,12 @@ def lookup_similar_deep(spark, folder):
     return similar_of(spark, folder, sample.movies(spark, folder).select("mid").filter("mid % 10 = 3"), DEEP)
 
 
+@check("lookup_similar_deep_all", query(f"SELECT mid, rank, other AS rec_mid, score FROM sims_ranked WHERE rank <= {DEEP}"))
+def lookup_similar_deep_all(spark, folder):
+    """Long lists of every movie."""
+    return similar_of(spark, folder, sample.movies(spark, folder).select("mid"), DEEP)
+
+
 @check("serve_same", query(
     f"""
     SELECT s.mid, s.rank, s.other AS rec_mid, s.score, i.name, i.avg_score

@@ -55,6 +55,12 @@ def test_hashed_terms_keep_the_word_count(spark):
     assert total(run(spark, "hashing_tf")) == total(content.term_frequencies(words).collect())
 
 
+def test_deep_lists_of_every_movie_are_looked_up(spark):
+    movies = {r.mid for r in run(spark, "content_similar_counts") if r.neighbours}
+    assert {r.mid for r in run(spark, "lookup_similar_deep_all")} == movies
+    assert len({m % 10 for m in movies}) == 10
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 

@@ -6,7 +6,9 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import curriculum, divergence, language, neighbours, packing, pages, quality, simhash, sql, substrings, tokens
+from marquee.llm import (
+    curriculum, divergence, infill, language, neighbours, packing, pages, quality, simhash, sql, substrings, tokens,
+)
 from marquee.llm.frames import bucket_of, table
 
 
@@ -143,3 +145,14 @@ def op9(spark, folder):
 @query("op10_packing")
 def op10(spark, folder):
     return packing.pack(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op13_infill", sql.INFILL)
+def op13(spark, folder):
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    moved = infill.transform(documents)
+    restored = infill.restored(F.col("output"), F.col("form"))
+    return moved.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(restored.cast("binary"), 256).alias("restored_sha256"),
+    )

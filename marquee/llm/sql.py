@@ -89,3 +89,27 @@ DIVERGENCE = f"""
                AND NOT (n_words >= {MIN_WORDS} AND word_distance > {MAX_WORD_DISTANCE}) AS kept,
            round(class_distance, 6) AS class_distance, round(word_distance, 6) AS word_distance
     FROM failed JOIN class_far USING (r) JOIN use_far USING (r)"""
+
+
+INFILL = """
+    WITH units AS (
+        SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+               sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d
+        FROM documents),
+    drawn AS (
+        SELECT *, len(u) AS n, [('0x' || substr(d, 8 * i + 1, 8))::UBIGINT FOR i IN range(4)] AS h FROM units),
+    cut AS (
+        SELECT *, least(h[1] % (n + 1), h[2] % (n + 1))::BIGINT AS a, greatest(h[1] % (n + 1), h[2] % (n + 1))::BIGINT AS b,
+               CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 90
+                    THEN 'plain' WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+        FROM drawn),
+    pieces AS (
+        SELECT doc_id, text, n, form, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m,
+               array_to_string(u[b + 1:], '') AS s
+        FROM cut)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN len(p) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN len(m) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                  ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+           sha256(text) AS restored_sha256
+    FROM pieces"""

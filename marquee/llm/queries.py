@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm import (
-    curriculum, divergence, infill, language, neighbours, packing, pages, quality, simhash, sql, substrings, tokens,
+    curriculum, divergence, infill, language, neighbours, packing, pages, phrases, quality, simhash, sql, substrings,
+    tokens,
 )
 from marquee.llm.frames import bucket_of, table
 
@@ -156,3 +157,8 @@ def op13(spark, folder):
         "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
         F.sha2(restored.cast("binary"), 256).alias("restored_sha256"),
     )
+
+
+@query("op11_phrases", sql.PHRASES)
+def op11(spark, folder):
+    return phrases.collocations(table(spark, folder, "documents"), support=30, top=2000, cover=80)

@@ -113,3 +113,32 @@ INFILL = """
                   ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
            sha256(text) AS restored_sha256
     FROM pieces"""
+
+PHRASES = r"""
+    WITH pieces AS (
+        SELECT lang, row_number() OVER () AS p, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+    places AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM pieces),
+    spans AS (SELECT lang, ws, i, unnest(range(1, least(4, len(ws) - i + 1) + 1)) AS k FROM places),
+    found AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM spans GROUP BY ALL),
+    sizes AS (SELECT lang, sum(f)::BIGINT AS n FROM found WHERE k = 1 GROUP BY lang),
+    candidates AS (SELECT *, string_split(phrase, ' ') AS ws FROM found WHERE k > 1 AND f >= 30),
+    cuts AS (SELECT *, unnest(range(1, k)) AS c FROM candidates),
+    scored AS (
+        SELECT c.lang, c.phrase, c.k, c.ws, c.f, c.c, l.f AS l, r.f AS r, (c.f::HUGEINT * 2000000) // (l.f + r.f) AS score
+        FROM cuts c JOIN found l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1:c.c], ' ')
+        JOIN found r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[c.c + 1:], ' ')),
+    best AS (
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) AS pos FROM scored) WHERE pos = 1),
+    inner_ AS (
+        SELECT lang, array_to_string(ws[s:s + m - 1], ' ') AS phrase, max(f) AS longer
+        FROM (SELECT *, unnest(range(1, k - m + 2)) AS s FROM (SELECT *, unnest(range(2, k)) AS m FROM candidates))
+        GROUP BY ALL),
+    kept AS (
+        SELECT b.* FROM best b LEFT JOIN inner_ i ON i.lang = b.lang AND i.phrase = b.phrase
+        WHERE i.longer IS NULL OR 100 * i.longer::HUGEINT < 80 * b.f::HUGEINT),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, f DESC, phrase) AS rank FROM kept)
+    SELECT lang, rank, phrase, f AS a, l, r, n, score::BIGINT AS score
+    FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000"""

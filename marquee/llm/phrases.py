@@ -20,7 +20,7 @@ from marquee.session import written
 
 # Occurrences that one group may hold, and text bytes that are combined before they are shuffled.
 BUDGET = 1 << 20
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 3 << 20
 # Bits of the filters of supported prefixes. Full filters let more through; the counts stay exact.
 WORD_BITS, PAIR_BITS = 23, 26
 
@@ -176,8 +176,9 @@ def phrase_counts(documents: DataFrame, support=30, budget=BUDGET):
     words = written(
         texts.mapInArrow(_words, WORD).groupBy("lang", "word").agg(F.min("code").alias("code"), F.sum("f").alias("f")), "words")
     usable = spark.sparkContext.broadcast(_filter(words.filter(F.col("f") >= support), WORD_BITS))
-    pairs = written(
-        texts.mapInArrow(_pairs(usable), PAIR).groupBy("a", "b").agg(F.sum("f").alias("f")).filter(F.col("f") >= support), "pairs")
+    # Slices have combined their pairs: a second combination before the shuffle would only take memory.
+    dealt = texts.mapInArrow(_pairs(usable), PAIR).repartition("a", "b")
+    pairs = written(dealt.groupBy("a", "b").agg(F.sum("f").alias("f")).filter(F.col("f") >= support), "pairs")
     coded = pairs.mapInArrow(_coded, "code long")
     joined = spark.sparkContext.broadcast(_filter(coded, PAIR_BITS))
 

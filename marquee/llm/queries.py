@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm import (
-    curriculum, divergence, infill, language, neighbours, packing, pages, phrases, quality, simhash, sql, substrings,
-    tokens,
+    curriculum, divergence, infill, jaccard, language, neighbours, packing, pages, phrases, quality, simhash, sql,
+    substrings, tokens,
 )
 from marquee.llm.frames import bucket_of, table
 
@@ -162,3 +162,9 @@ def op13(spark, folder):
 @query("op11_phrases", sql.PHRASES)
 def op11(spark, folder):
     return phrases.collocations(table(spark, folder, "documents"), support=30, top=2000, cover=80)
+
+
+@query("op12_jaccard", sql.SIMILAR)
+def op12(spark, folder):
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return jaccard.groups(documents, shingle=5, percent=80)

@@ -142,3 +142,21 @@ PHRASES = r"""
     ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, f DESC, phrase) AS rank FROM kept)
     SELECT lang, rank, phrase, f AS a, l, r, n, score::BIGINT AS score
     FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000"""
+
+SIMILAR = r"""
+    WITH RECURSIVE texts AS (
+        SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    tokens AS (
+        SELECT DISTINCT r, md5(array_to_string(ws[i:i + 4], ' ')) AS t
+        FROM (SELECT r, ws, unnest(range(1, greatest(len(ws) - 4, least(len(ws), 1)) + 1)) AS i FROM texts)),
+    sizes AS (SELECT r, count(*) AS n FROM tokens GROUP BY r),
+    shared AS (SELECT a.r AS x, b.r AS y, count(*) AS n FROM tokens a JOIN tokens b ON a.t = b.t AND a.r <> b.r GROUP BY ALL),
+    links AS (
+        SELECT x, y FROM shared s JOIN sizes a ON a.r = x JOIN sizes b ON b.r = y
+        WHERE 100 * s.n >= 80 * (a.n + b.n - s.n)),
+    reached AS (SELECT r AS x, r AS y FROM texts UNION SELECT c.x, l.y FROM reached c JOIN links l ON l.x = c.y),
+    least AS (SELECT x, min(doc_id) AS component_id FROM reached JOIN texts ON r = y GROUP BY x)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+    FROM texts t LEFT JOIN sizes s ON s.r = t.r JOIN least ON x = t.r"""

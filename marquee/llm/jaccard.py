@@ -6,11 +6,12 @@ overlap that a link needs has no partner in the group, so only groups that reach
 
 Groups come from min-hashes. Sets that meet a leader of their band, and are verified to link with it, form
 cores; whoever is linked with a core's set belongs to its component, so sets of one core are never
-compared with each other, and a group of copies costs as much as its size. The other sets are grouped by one
-min-hash, linked or not. Cores and groups are opened in blocks of bounded size. The matrix holds the
+compared with each other, and a group of copies costs as much as its size. The other sets are grouped by
+their first band, linked or not. Cores and groups are opened in blocks of bounded size. The matrix holds the
 rarest tokens of each set only: of n tokens with an overlap of c needed, the n - c + 1 rarest share one
 with every partner. How rare a token is comes from a sample, which decides the order and hence the cost but
-no result, as any fixed order of tokens is right.
+no result, as any fixed order of tokens is right. Before the tokens of a block are fetched, parity sketches of
+its sets (two to four bits a token) rule out pairs: sketches differ in no more bits than sets in tokens.
 """
 
 import numpy as np
@@ -70,6 +71,15 @@ class Sets:
         if len(self.filled):
             self.key[self.filled] = mix(self.per_set(np.add, mix(self.tokens)) + self.n[self.filled].astype(np.uint64))
 
+    def sketches(self):
+        """Per text the parities of its tokens modulo a power of two, as bytes."""
+        bits = 64 << np.ceil(np.log2(np.maximum(self.n / 32, 1))).astype(np.int64)
+        start = np.cumsum(bits) - bits
+        place = start[self.owner] + (self.tokens & (bits - 1)[self.owner].astype(np.uint64)).astype(np.int64)
+        parity = np.bincount(place, minlength=bits.sum()).astype(np.uint8) & 1
+        packed = np.packbits(parity, bitorder="little").tobytes()
+        return [packed[a // 8: b // 8] for a, b in zip(start.tolist(), (start + bits).tolist())]
+
     def per_set(self, reduce, values):
         return reduce.reduceat(values, self.first[:-1][self.filled])
 
@@ -95,9 +105,9 @@ def _info(shingle):
             bands = mix(least[0::2] * TURNS[0] + least[1::2] + TURNS[:BANDS, None])
             names = [c for c in batch.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays([
-                *[batch.column(c) for c in names], _longs(sets.key), pa.array(sets.n), _longs(least[0]),
+                *[batch.column(c) for c in names], _longs(sets.key), pa.array(sets.n), pa.array(sets.sketches(), pa.binary()),
                 pa.ListArray.from_arrays(np.arange(0, bands.size + 1, BANDS, dtype=np.int32), _longs(bands.T.ravel())),
-            ], names=[*names, "s", "n", "home", "bands"])
+            ], names=[*names, "s", "n", "sketch", "bands"])
 
     return run
 
@@ -145,6 +155,39 @@ def _whole(shingle):
     return run
 
 
+def _folded(sketch, words):
+    """Sketches (rows of ``sketch``) of fewer bits: the parities modulo the smaller power of two."""
+    while sketch.shape[1] > words:
+        half = sketch.shape[1] // 2
+        sketch = sketch[:, :half] ^ sketch[:, half:]
+    return sketch
+
+
+def _sieve(percent):
+    """A task function: the sets and queries of a block that can have a link in it."""
+
+    def sieve(block: pa.Table) -> pa.Table:
+        member, n = block["member"].to_numpy(), block["n"].to_numpy()
+        sketch = [np.frombuffer(x.as_py(), np.uint64) for x in block["sketch"]]
+        width, keys, keep = np.array([len(x) for x in sketch]), block["s"].to_numpy(), np.zeros(len(member), bool)
+        queries = np.flatnonzero(~member)
+        for w in np.unique(width[member]).tolist():
+            inside = np.flatnonzero(member & (width == w))
+            held = {w: np.stack([sketch[i] for i in inside])}
+            for q in queries.tolist():
+                least = min(w, width[q])
+                if least not in held:
+                    held[least] = _folded(held[w], least)
+                apart = np.bitwise_count(held[least] ^ _folded(sketch[q][None], least)).sum(axis=1, dtype=np.int64)
+                near = apart * (100 + percent) <= (n[inside] + n[q]) * (100 - percent)
+                near &= keys[inside] != keys[q]
+                keep[q] |= near.any()
+                keep[inside[near]] = True
+        return block.select(["c", "p", "q", "s", "member"]).filter(pa.array(keep))
+
+    return sieve
+
+
 def _compare(percent):
     """A task function: links of the queries of a block with its sets, as a spanning forest."""
 
@@ -183,6 +226,10 @@ def _compare(percent):
 
 def _open(visits, documents, sets, shingle, percent) -> DataFrame:
     """Links (``high``, ``low``) in the blocks of ``visits`` (c, p, q, s, member), which is a written table."""
+    kind = visits.schema["c"].dataType.simpleString()
+    sketched = visits.join(sets.select("s", "n", "sketch"), "s").select(*visits.columns, "n", "sketch")
+    visits = written(sketched.groupBy("c", "p", "q").applyInArrow(
+        _sieve(percent), f"c {kind}, p long, q long, s long, member boolean"), "sieved")
     asked = visits.select("s").distinct().join(sets.select("s", "at.*"), "s").select("u1", "u2").distinct()
     texts = documents.join(written(asked, "asked"), ["u1", "u2"], "left_semi").select("text")
     tokens = texts.mapInArrow(_whole(shingle), "s long, tokens binary").groupBy("s").agg(F.first("tokens").alias("tokens"))
@@ -237,8 +284,8 @@ def _matrix_links(sets, cores, documents, shingle, percent, sample):
     size = written(cores.groupBy("root").agg(F.count("*").alias("size")), "core-sizes")
     placed = written(
         sets.join(cores, sets["s"] == cores["node"], "left").join(size, "root", "left")
-        .select("s", "n", "home", "root", "size"), "placed")
-    # c: a core, or the sets that have none and one min-hash.
+        .select("s", "n", F.get("bands", F.lit(0)).alias("home"), "root", "size"), "placed")
+    # c: a core, or the sets that have none and one first band.
     alone = F.col("size").isNull()
     placed = placed.select("s", "n", alone.alias("alone"), F.coalesce("size", F.lit(0)).alias("size"),
                            F.struct(alone.alias("alone"), F.coalesce("root", "home").alias("id")).alias("c"))
@@ -280,11 +327,11 @@ def groups(documents: DataFrame, shingle=5, percent=80, sample=SAMPLE) -> DataFr
     keyed = documents.select("text", F.xxhash64("text").alias("u1"), F.hash("text").alias("u2"))
     others = [F.col(f"`{f.name}`").alias(f"_{i}") for i, f in enumerate(rest)]
     schema = ", ".join([f"_{i} {f.dataType.simpleString()}" for i, f in enumerate(rest)]
-                       + ["_id long, u1 long, u2 int, s long, n long, home long, bands array<long>"])
+                       + ["_id long, u1 long, u2 int, s long, n long, sketch binary, bands array<long>"])
     rows = documents.select("text", *others, F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("u1"), F.hash("text").alias("u2"))
     info = written(rows.mapInArrow(_info(shingle), schema), "info")
     sets = written(info.filter("n > 0").groupBy("s").agg(
-        F.first("n").alias("n"), F.first("home").alias("home"), F.first("bands").alias("bands"),
+        F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"),
         F.min(F.struct("u1", "u2")).alias("at"), F.min("_id").alias("least_id")), "sets")
 
     links = _leader_links(sets, keyed, shingle, percent)

@@ -3,14 +3,14 @@
 from pyspark.sql import functions as F
 
 from marquee import schemas
-from marquee.operators import content, factors, search, serving, similarity, statistics
+from marquee.operators import content, factors, postings, search, serving, similarity, statistics
 from marquee.sources import delimited, streams
 from marquee.sources.tables import TableStore, search_documents
 from marquee.streaming import live, rating_log
 
 
 def load(store: TableStore, movies_path, ratings_path, tags_path, mode="FAILFAST"):
-    """Delimited files to Movie, Rating, Tag, SearchDocument and its index SearchTokens.
+    """Delimited files to Movie, Rating, Tag, SearchDocument and its indexes.
 
     In PERMISSIVE mode unreadable lines go to MovieRejects, RatingRejects and TagRejects.
     """
@@ -28,28 +28,39 @@ def load(store: TableStore, movies_path, ratings_path, tags_path, mode="FAILFAST
         stored[name] = store.overwrite(name, rows)
     documents = search_documents(statistics.movies_with_tags(stored["Movie"], stored["Tag"]))
     stored["SearchDocument"] = store.overwrite("SearchDocument", documents)
-    stored["SearchTokens"] = index_documents(store)
-    return stored
+    return {**stored, **index_documents(store)}
 
 
 def index_documents(store: TableStore):
-    """SearchDocument to SearchTokens, which the searches read instead of the texts."""
-    return store.overwrite("SearchTokens", search.hashed_tokens(store.read("SearchDocument"), "mid", schemas.MOVIE_TEXT))
+    """SearchDocument to SearchPostings and SearchWords for searches, SearchTokens for more-like-this."""
+    documents = store.read("SearchDocument")
+    blocks = postings.laid_out(postings.block_rows(documents, "mid", schemas.MOVIE_TEXT))
+    blocks = store.overwrite("SearchPostings", blocks, ("bucket",))
+    words = postings.laid_out(postings.word_rows(blocks, documents, "mid", schemas.MOVIE_TEXT))
+    return {
+        "SearchPostings": blocks,
+        "SearchWords": store.overwrite("SearchWords", words, ("bucket",)),
+        "SearchTokens": store.overwrite("SearchTokens", search.hashed_tokens(documents, "mid", schemas.MOVIE_TEXT)),
+    }
 
 
-def search_index(store: TableStore) -> search.Index:
+def like_index(store: TableStore) -> search.Index:
     return search.Index(store.read("SearchTokens"), schemas.MOVIE_TEXT)
 
 
+def posting_index(store: TableStore) -> postings.Postings:
+    return postings.Postings(store.read("SearchPostings"), store.read("SearchWords"), schemas.MOVIE_TEXT)
+
+
 def movie_search(store: TableStore, queries, n, fields=("name", "descri")):
     """Full-text search of (query_id, text) in the stored documents."""
-    return search.multi_match(store.read("SearchDocument"), "mid", fields, queries, n, search_index(store))
+    return search.multi_match(store.read("SearchDocument"), "mid", fields, queries, n, posting_index(store))
 
 
 def movies_like(store: TableStore, n, seeds=None):
     """(seed, rank, mid, score): stored documents like each of ``seeds`` (mid), over all text fields."""
     return search.more_like_this(
-        store.read("SearchDocument"), "mid", schemas.MOVIE_TEXT, n, seeds, search_index(store))
+        store.read("SearchDocument"), "mid", schemas.MOVIE_TEXT, n, seeds, like_index(store))
 
 
 def compute_statistics(store: TableStore, genres=schemas.DEFAULT_GENRES):

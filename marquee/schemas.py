@@ -59,6 +59,25 @@ SEARCH_TOKENS = T.StructType([
     T.StructField("sizes", T.ArrayType(T.IntegerType())),
 ])
 
+# The inverted index: postings of a word of a field in one part of the documents, and the words.
+SEARCH_POSTINGS = T.StructType([
+    T.StructField("field", T.IntegerType()),
+    T.StructField("word", T.StringType()),
+    T.StructField("part", T.LongType()),
+    T.StructField("docs", T.ArrayType(T.LongType())),
+    T.StructField("weights", T.ArrayType(T.DoubleType())),
+    T.StructField("most", T.DoubleType()),
+    T.StructField("bucket", T.IntegerType()),
+])
+SEARCH_WORDS = T.StructType([
+    T.StructField("field", T.IntegerType()),
+    T.StructField("word", T.StringType()),
+    T.StructField("df", T.LongType()),
+    T.StructField("idf", T.DoubleType()),
+    T.StructField("most", T.DoubleType()),
+    T.StructField("bucket", T.IntegerType()),
+])
+
 # Similar movies: the profile of each movie, and scores between profiles.
 MEMBERS = T.StructType([
     T.StructField("mid", T.IntegerType()),
@@ -81,6 +100,8 @@ TABLES = {
     "User": USER,
     "SearchDocument": SEARCH_DOCUMENT,
     "SearchTokens": SEARCH_TOKENS,
+    "SearchPostings": SEARCH_POSTINGS,
+    "SearchWords": SEARCH_WORDS,
     "RateMoreMovies": T.StructType([
         T.StructField("mid", T.IntegerType()),
         T.StructField("count", T.LongType()),

@@ -34,9 +34,9 @@ def load(store: TableStore, movies_path, ratings_path, tags_path, mode="FAILFAST
 def index_documents(store: TableStore):
     """SearchDocument to SearchPostings and SearchWords for searches, SearchTokens for more-like-this."""
     documents = store.read("SearchDocument")
-    blocks = postings.laid_out(postings.block_rows(documents, "mid", schemas.MOVIE_TEXT))
-    blocks = store.overwrite("SearchPostings", blocks, ("bucket",))
-    words = postings.laid_out(postings.word_rows(blocks, documents, "mid", schemas.MOVIE_TEXT))
+    fields = postings.split_fields(documents, "mid", schemas.MOVIE_TEXT)
+    blocks = store.overwrite("SearchPostings", postings.laid_out(postings.block_rows(fields)), ("bucket",))
+    words = postings.laid_out(postings.word_rows(blocks, fields))
     return {
         "SearchPostings": blocks,
         "SearchWords": store.overwrite("SearchWords", words, ("bucket",)),

@@ -32,14 +32,6 @@ def similar_of(spark, folder, asked, n):
 DEEP = 150
 
 
-@check("lookup_similar_deep", query(
-    f"SELECT mid, rank, other AS rec_mid, score FROM sims_ranked WHERE rank <= {DEEP} AND mid % 10 = 3"
-))
-def lookup_similar_deep(spark, folder):
-    """Long lists of some movies, as their requests ask for them."""
-    return similar_of(spark, folder, sample.movies(spark, folder).select("mid").filter("mid % 10 = 3"), DEEP)
-
-
 @check("lookup_similar_deep_all", query(f"SELECT mid, rank, other AS rec_mid, score FROM sims_ranked WHERE rank <= {DEEP}"))
 def lookup_similar_deep_all(spark, folder):
     """Long lists of every movie."""

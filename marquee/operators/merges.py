@@ -28,6 +28,13 @@ def upsert_ratings(ratings: DataFrame, updates: DataFrame) -> DataFrame:
     return changed.unionByName(inserted.select(*changed.columns))
 
 
+def applied_clicks(clicks: DataFrame, updates: DataFrame) -> DataFrame:
+    """The newest click (uid, mid, timestamp) that ``upsert_ratings`` has applied to each rating, after ``updates``."""
+    columns = ["uid", "mid", "timestamp"]
+    both = clicks.select(*columns).unionByName(updates.select(*columns))
+    return both.groupBy("uid", "mid").agg(F.max("timestamp").alias("timestamp"))
+
+
 def append_tags(documents: DataFrame, new_tags: DataFrame, order) -> DataFrame:
     """Search documents after ``new_tags``: each tag is appended to the ``tags`` text in order.
 

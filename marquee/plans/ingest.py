@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame
 
 from marquee.functions import scalars as S
-from marquee.operators.merges import upsert_ratings
+from marquee.operators.merges import applied_clicks, upsert_ratings
+from marquee.sources.tables import TableStore
 
 
 def scored_clicks(clicks: DataFrame, unit=None) -> DataFrame:
@@ -19,3 +20,13 @@ def ingest_ratings(clicks: DataFrame, ratings: DataFrame):
     scored = scored_clicks(clicks)
     lines = scored.select(S.rating_log_line("uid", "mid", "score", "timestamp").alias("value"))
     return upsert_ratings(ratings, scored), scored, lines
+
+
+def store_ratings(store: TableStore, scored: DataFrame):
+    """Applies scored clicks (uid, mid, score, timestamp) to Rating and keeps their times in RatingClicks.
+
+    The clicks are stored first: until Rating follows, the live job counts them by the events it has.
+    """
+    known = store.read("RatingClicks") if store.exists("RatingClicks") else scored.limit(0)
+    store.overwrite("RatingClicks", applied_clicks(known, scored))
+    return store.overwrite("Rating", upsert_ratings(store.read("Rating"), scored))

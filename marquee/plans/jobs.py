@@ -122,11 +122,16 @@ def log_filter(lines, sink):
     return sink(rating_log.rating_messages(lines))
 
 
+def live_lists(store: TableStore, root, similar) -> live.LiveLists:
+    """The handler on the stored tables, each read anew for each batch."""
+    applied = lambda: store.read("RatingClicks") if store.exists("RatingClicks") else store.spark.createDataFrame([], schemas.TABLES["RatingClicks"])
+    return live.LiveLists(
+        store.spark, root, lambda: stored_similar(store, similar), lambda: store.read("Rating"), load_clicks=applied)
+
+
 def live_recommendations(store: TableStore, lines, root, checkpoint, similar="MovieRecs", trigger=live.TRIGGER):
     """(handler, writer) of the real-time job on a stream of log lines or rating messages."""
-    handler = live.LiveLists(
-        store.spark, root, lambda: stored_similar(store, similar), lambda: store.read("Rating")
-    )
+    handler = live_lists(store, root, similar)
     ratings = rating_log.ratings_from_log(lines)
     return handler, handler.writer(ratings, checkpoint, trigger)
 
@@ -137,9 +142,7 @@ def topic_jobs(store: TableStore, servers, root, checkpoint):
     lines = streams.topic_source(spark, servers, streams.LOG_TOPIC)
     messages = log_filter(lines, lambda m: streams.topic_sink(m, servers, f"{checkpoint}/filter"))
     ratings = rating_log.parse_messages(streams.topic_source(spark, servers, streams.RATING_TOPIC))
-    handler = live.LiveLists(
-        spark, root, lambda: stored_similar(store, "MovieRecs"), lambda: store.read("Rating")
-    )
+    handler = live_lists(store, root, "MovieRecs")
     return messages, handler, handler.writer(ratings, f"{checkpoint}/lists")
 
 

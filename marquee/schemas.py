@@ -96,6 +96,11 @@ PAIRS = T.StructType([
 TABLES = {
     "Movie": MOVIE,
     "Rating": RATING,
+    "RatingClicks": T.StructType([
+        T.StructField("uid", T.IntegerType()),
+        T.StructField("mid", T.IntegerType()),
+        T.StructField("timestamp", T.IntegerType()),
+    ]),
     "Tag": TAG,
     "User": USER,
     "SearchDocument": SEARCH_DOCUMENT,

@@ -9,9 +9,15 @@ from marquee.sources.tables import TableStore
 
 TRIGGER = "2 seconds"
 HISTORY = "uid int, mid int, score double, timestamp int, bucket int, batch_id long"
+EVENT = ["uid", "mid", "timestamp"]
 LISTS = "uid int, recs array<struct<mid:int,score:double>>, batch_id long"
 
 
+def once(events: DataFrame) -> DataFrame:
+    """One rating per event; of different scores the greatest."""
+    return events.groupBy(*EVENT).agg(F.max("score").alias("score")).select(*schemas.RATING.names)
+
+
 class LiveLists:
     """Writes, per micro-batch, the batch's ratings and the new list of each of its users.
 
@@ -19,15 +25,18 @@ class LiveLists:
     a batch twice changes nothing. ``load_index`` and ``load_ratings`` are called for each batch:
     a similarity table or rating table that was replaced in between takes effect. The history is
     laid out in ``buckets`` of users; a batch reads those of its own users. More buckets suit a longer
-    history with smaller batches. Every ``compact_every`` batches the older batches are merged, so that
+    history with smaller batches. ``load_clicks`` gives the clicks that the ingest has applied to the stored ratings
+    (uid, mid, timestamp), which tell that a stored rating and an event are one. Every ``compact_every`` batches the older batches are merged, so that
     the number of folders and files stays bounded however long the job runs.
     """
 
-    def __init__(self, spark, root, load_index, load_ratings=None, mode="counted", buckets=8, compact_every=500):
+    def __init__(self, spark, root, load_index, load_ratings=None, mode="counted", buckets=8, compact_every=500,
+                 load_clicks=None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.load_index = load_index
         self.load_ratings = load_ratings
+        self.load_clicks = load_clicks
         self.mode = mode
         self.buckets = buckets
         self.compact_every = compact_every
@@ -76,7 +85,9 @@ class LiveLists:
         """Ratings written so far, plus the stored ratings when there are any.
 
         ``buckets`` limits the files that are read to those of some user buckets, ``users`` (uid) the
-        rows. An event that the rating ingest has stored meanwhile counts once.
+        rows. An event is known by user, movie and the time of its click, and counts once, however often
+        it arrives and whether or not the rating ingest has stored it meanwhile: a stored rating that took its
+        score from a click is that click, whatever time the table keeps for it.
         """
         of_users = lambda rows: rows if users is None else rows.join(users, "uid", "left_semi")
         rows = self._batches("history", self.history_path, HISTORY)
@@ -84,11 +95,15 @@ class LiveLists:
             rows = rows.filter(F.col("batch_id") <= before)
         if buckets is not None:
             rows = rows.filter(F.col("bucket").isin(buckets))
-        rows = of_users(rows.select(*schemas.RATING.names))
+        rows = once(of_users(rows))
         if self.load_ratings is None:
             return rows
         stored = of_users(self.load_ratings().select(*schemas.RATING.names))
-        return rows.join(stored, schemas.RATING.names, "left_anti").unionByName(stored)
+        if self.load_clicks is not None:
+            clicks = of_users(self.load_clicks()).select("uid", "mid", F.col("timestamp").alias("clicked"))
+            clicked = stored.join(clicks, ["uid", "mid"]).withColumn("timestamp", F.col("clicked"))
+            stored = stored.join(clicks, ["uid", "mid"], "left_anti").unionByName(once(clicked))
+        return rows.unionByName(stored.join(rows, EVENT, "left_anti"))
 
     def __call__(self, ratings: DataFrame, batch_id: int):
         """Handler for ``foreachBatch``: the batch joins the history before lists are computed."""

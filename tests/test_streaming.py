@@ -1,6 +1,6 @@
 from conftest import rows
 from marquee.operators.online import recent_ratings
-from marquee.plans import jobs
+from marquee.plans import ingest, jobs
 from marquee.sources import streams
 from marquee.sources.tables import TableStore
 from marquee.streaming import history, rating_log
@@ -73,6 +73,29 @@ def test_stored_ratings_count_as_seen(spark, tmp_path, frame):
     assert {m for m, _ in lists(handler.latest())[1]} == {4, 5, 6}
 
 
+def test_an_ingested_click_counts_once(spark, tmp_path, frame):
+    store = TableStore(spark, str(tmp_path / "store"))
+    jobs.store_similar(store, "MovieRecs", small_index(frame))
+    store.overwrite("Rating", frame([(1, 10, 2.0, 100), (1, 20, 3.0, 50), (2, 10, 1.0, 70)], RATING))
+    handler = jobs.live_lists(store, str(tmp_path / "live"), "MovieRecs")
+    clicks = frame([(1, 10, 5.0, 5000), (1, 30, 4.0, 6000)], RATING)
+    untouched = [(1, 10, 2.0, 100), (1, 10, 5.0, 5000), (1, 20, 3.0, 50), (1, 30, 4.0, 6000), (2, 10, 1.0, 70)]
+    handler(clicks, 0)
+    assert rows(handler.history()) == untouched
+    ingest.store_ratings(store, clicks)
+    assert rows(store.read("Rating").filter("mid = 10")) == [(1, 10, 5.0, 100), (2, 10, 1.0, 70)]
+    once = [(1, 10, 5.0, 5000), (1, 20, 3.0, 50), (1, 30, 4.0, 6000), (2, 10, 1.0, 70)]
+    assert rows(handler.history()) == once
+    handler(clicks, 1)  # the same clicks again
+    assert rows(handler.history()) == once
+    # A click that the ingest has stored before the live job sees it, and a second one on the same movie.
+    ingest.store_ratings(store, frame([(1, 10, 1.0, 7000)], RATING))
+    assert rows(handler.history()) == sorted([*once, (1, 10, 1.0, 7000)])
+    handler(frame([(1, 10, 1.0, 7000)], RATING), 2)
+    assert rows(handler.history()) == sorted([*once, (1, 10, 1.0, 7000)])
+    assert rows(store.read("RatingClicks")) == [(1, 10, 7000), (1, 30, 6000)]
+
+
 def test_history_state_is_bounded_and_equals_batch(spark, tmp_path, frame):
     ratings = [(1, i, 3.0, 100 + i) for i in range(45)] + [(1, 44, 1.0, 500), (2, 7, 4.0, 5)]
     logs, out = tmp_path / "logs", tmp_path / "out"

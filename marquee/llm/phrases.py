@@ -20,7 +20,7 @@ from marquee.session import written
 
 # Occurrences that one group may hold, and text bytes that are combined before they are shuffled.
 BUDGET = 1 << 20
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 2 << 20
 # Bits of the filters of supported prefixes. Full filters let more through; the counts stay exact.
 WORD_BITS, PAIR_BITS = 23, 26
 

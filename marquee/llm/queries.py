@@ -65,7 +65,7 @@ def op5(spark, folder):
     documents = table(spark, folder, "documents").select("doc_id", "text")
     model = quality.train(documents, table(spark, folder, "labels"))
     return quality.score(documents, model, keep_text=False).select(
-        "doc_id", (bucket_of("doc_id", 5) == 0).alias("held_out"), "score", "predicted"
+        "doc_id", F.coalesce(bucket_of("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted"
     )
 
 

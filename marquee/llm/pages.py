@@ -5,11 +5,11 @@ concatenated, and a suffix array finds runs of blocks that occur on distinct pag
 neighbouring suffixes, cut where they hold ``RUN_WORDS`` words. Hosts are done in slices, the pages of a
 task, and the slices' runs are summed by hash, so a host of any size is spread over the cluster.
 
-What the markup says comes first. Blocks inside menus, headers, footers, adverts and the like go.
-Inside an explicit article a repeat is mostly a copied article or a quoted passage, not boilerplate,
-and only goes if it is on most pages of a large host. On pages without one, a run goes if it is surely on
-most bodies of the host: pages that hold enough text besides what most pages of the host hold. Near copies
-that make up most of a host are no bodies, so they are no witnesses against their own text.
+What the markup says comes first. Blocks inside menus, headers, footers, adverts and the like go. An element
+that only its class or id marks is judged by what it holds, too: a wrapper of the article or of most of the page's
+words outside links stays. Then a run goes if it is surely on most bodies of the host: pages that hold enough
+text besides what most pages of the host hold. Near copies that make up most of a host are no bodies, so they
+are no witnesses against their own text. The bound follows the number of bodies without a step.
 """
 
 import html
@@ -26,14 +26,14 @@ from marquee.session import written
 
 RUN_WORDS = 8
 RUN_BLOCKS = 8
-SITE_PAGES = 20  # pages from which on a host's own notices can be told from articles
 SITE_SHARE = 0.5
 OWN_SHARE = 0.25  # of a page's words, not found on most pages of its host, from which on it is a body
 CONFIDENCE = 1.64  # standard errors of the share of bodies
 
 # Element names of HTML and words that sites use for what is not the article.
-RAW = "script|style|noscript|template|svg|iframe|textarea|select|title|object|math"
-ASIDE = frozenset("nav header footer aside form head button dialog menu".split())
+RAW = "script|style|template|svg|iframe|textarea|select|title"
+ASIDE = frozenset("nav header footer aside form head button dialog menu noscript".split())
+IN_ARTICLE = frozenset("header noscript".split())  # set aside outside an article only
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th "
@@ -46,58 +46,113 @@ MARKS = frozenset(
     "breadcrumb breadcrumbs masthead footer header comment comments respond disqus reply replies share sharing social "
     "related recommended widget pagination skip".split()
 )
+STATES = frozenset("has no not with without is open closed enabled disabled".split())
+INLINE = frozenset("a abbr b cite code em font i label mark q s small span strong sub sup time u var".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog".split())
 
+# A quote opens a value only after an equals sign; any other one is a character of the tag.
 TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(/?)([a-z][a-z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>",
+    r"|<(/?)([a-z][a-z0-9:-]*)((?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*+)>",
     re.S | re.I,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+ATTRIBUTE = re.compile(r"(?<![^\s\"'/])([^\s=\"'<>/]++)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+STYLE = re.compile(r"display\s*:\s*none", re.I)
 PARTS = re.compile(r"[^a-z0-9]+")
 
 ARTICLE, PLAIN = 1, 0
+OPEN, ASIDE_FOR_SURE, MARKED, STATED = range(4)
 
 
-def _is_aside(name, attributes, in_article):
-    if name in ASIDE and not (in_article and name == "header"):
-        return True
-    if name in ("body", "html", "article", "main") or not attributes:
-        return False
-    for key, *values in ATTRIBUTE.findall(attributes):
-        value = "".join(values).lower()
-        if (value in ROLES) if key.lower() == "role" else not MARKS.isdisjoint(PARTS.split(value)):
-            return True
-    return bool(HIDDEN.search(attributes))
+def _attributes(text):
+    """(values by lower-case name, names without a value)."""
+    values = {}
+    for key, *forms in ATTRIBUTE.findall(text):
+        values.setdefault(key.lower(), "".join(forms))
+    return values, ATTRIBUTE.sub(" ", text).lower().split()
+
+
+def _kind(name, values, bare, in_article):
+    """How far an element's name and attributes set it aside.
+
+    ``STATED``: all marks are part of a statement about the page, such as ``no-sidebar`` or ``comments-open``.
+    """
+    if name in ASIDE and not (in_article and name in IN_ARTICLE):
+        return ASIDE_FOR_SURE
+    if name in ("body", "html", "article", "main") and not in_article or not (values or bare):
+        return OPEN
+    if (values.get("role", "").lower() in ROLES or values.get("aria-hidden", "").lower() == "true"
+            or "hidden" in bare or "hidden" in values or STYLE.search(values.get("style", ""))):
+        return ASIDE_FOR_SURE
+    kinds = []
+    for word in f"{values.get('class', '')} {values.get('id', '')}".lower().split():
+        parts = PARTS.split(word)
+        if not MARKS.isdisjoint(parts):
+            inner = parts[0] not in MARKS and parts[-1] not in MARKS
+            kinds.append(STATED if inner or not STATES.isdisjoint(parts) else MARKED)
+    return min(kinds, default=OPEN)
+
+
+def _wrappers(marks, words, titled):
+    """Which marked elements stay open, of [parent or -1, kind, own words outside links, whether it has a title].
+
+    Outermost first. An element that holds an article, main part or first heading is a wrapper if nothing open does,
+    and a stated one if it holds more words outside links than all that is open (``words``, ``titled``).
+    """
+    inner = [(own, title) for _, _, own, title in marks]
+    for number in range(len(marks) - 1, -1, -1):
+        parent, kind, *_ = marks[number]
+        if parent >= 0:
+            own, title = inner[number]
+            inner[parent] = (inner[parent][0] + (own if kind == STATED else 0), inner[parent][1] or title)
+    is_open = []
+    for (parent, kind, own, title), (size, holds) in zip(marks, inner):
+        stays = (parent < 0 or is_open[parent]) and (holds and not titled or kind == STATED and size > words)
+        is_open.append(stays)
+        if stays:
+            words, titled = words + own, titled or title
+    return is_open
 
 
 def blocks(page):
     """(kind, text) of the blocks of a page that the markup does not set aside, in page order."""
-    found, open_tags, text = [], [], []
-    asides = articles = mains = 0
+    found, marks, open_tags, text = [], [], [], []
+    asides = articles = mains = links = linked = words = 0
+    mark, titled = -1, False
 
     def close():
+        nonlocal linked, words
         joined = " ".join(html.unescape("".join(text)).split())
         if joined and not asides:
-            found.append((2 if articles else 1 if mains else 0, joined))
+            free = max(0, joined.count(" ") + 1 - linked)
+            if mark < 0:
+                words += free
+            else:
+                marks[mark][2] += free
+            found.append((2 if articles else 1 if mains else 0, joined, mark))
         text.clear()
+        linked = 0
 
     def leave(index):
-        nonlocal asides, articles, mains
-        for _, aside, article, main in open_tags[index:]:
-            asides, articles, mains = asides - aside, articles - article, mains - main
+        nonlocal asides, articles, mains, links, mark
+        if any(opened[-1] for opened in open_tags[index:]):
+            close()
+        for name, aside, article, main, marked in open_tags[index:]:
+            asides, articles, mains, links = asides - aside, articles - article, mains - main, links - (name == "a")
+            if marked:
+                mark = marks[mark][0]
         del open_tags[index:]
 
     at = 0
     for token in TOKEN.finditer(page):
         if not asides:
             text.append(page[at: token.start()])
+            linked += len(text[-1].split()) if links else 0
         at = token.end()
         name = (token[3] or "").lower()
         if not name:
             continue
-        if name in BLOCKS:
+        if name in BLOCKS or name == "noscript":
             close()
         elif name == "br":
             text.append(" ")
@@ -111,16 +166,31 @@ def blocks(page):
                 index = next((i for i in range(len(open_tags) - 1, -1, -1) if open_tags[i][0] in BLOCKS), None)
                 if index is not None and open_tags[index][0] == "p":
                     leave(index)
-            aside = _is_aside(name, token[4], articles)
-            article = name == "article" and not aside
-            main = name == "main" or "itemprop=\"articleBody\"" in token[4]
-            open_tags.append((name, aside, article, main))
-            asides, articles, mains = asides + aside, articles + article, mains + main
+            values, bare = _attributes(token[4]) if token[4] else ({}, ())
+            kind = _kind(name, values, bare, articles)
+            # What is marked inside a line is no wrapper.
+            marked = kind in (MARKED, STATED) and name not in INLINE and not asides
+            aside = kind != OPEN and not marked
+            if marked:
+                close()
+                marks.append([mark, kind, 0, False])
+                mark = len(marks) - 1
+            article = name == "article" and kind == OPEN
+            main = kind == OPEN and (name == "main" or values.get("itemprop") == "articleBody")
+            if (article or main or name == "h1") and not asides and not aside:
+                if mark < 0:
+                    titled = True
+                else:
+                    marks[mark][3] = True
+            open_tags.append((name, aside, article, main, marked))
+            asides, articles, mains, links = asides + aside, articles + article, mains + main, links + (name == "a")
     if not asides:
         text.append(page[at:])
     close()
-    best = max((kind for kind, _ in found), default=0)
-    return [(ARTICLE if kind else PLAIN, t) for kind, t in found if kind == best]
+    is_open = _wrappers(marks, words, titled)
+    kept = [(kind, t) for kind, t, inside in found if inside < 0 or is_open[inside]]
+    best = max((kind for kind, _ in kept), default=0)
+    return [(ARTICLE if kind else PLAIN, t) for kind, t in kept if kind == best]
 
 
 def runs(streams, sizes):
@@ -224,12 +294,11 @@ def _page_runs(batches):
             digests.append(int(_whole(own).view(np.int64)))
         yield pa.RecordBatch.from_arrays([
             batch.column("u1"), batch.column("u2"), batch.column("host"),
-            pa.array([bool(p) and p[0][0] == ARTICLE for p in found]),
             pa.array(digests, pa.int64()),
             pa.array([sum(words for *_, words in own) for own in names], pa.int64()),
             pa.array([[dict(at=a, run=r, blocks=b, words=w) for a, r, b, w in own] for own in names],
                      pa.list_(pa.struct([("at", pa.int32()), ("run", pa.int64()), ("blocks", pa.int32()), ("words", pa.int64())]))),
-        ], names=["u1", "u2", "host", "article", "digest", "total", "runs"])
+        ], names=["u1", "u2", "host", "digest", "total", "runs"])
 
 
 def _texts(batches):
@@ -251,7 +320,7 @@ def _lower(hits, of):
 
 
 def _judged(own, shared):
-    """``boilerplate`` of each (host, run) of ``shared``: whether it is surely on most bodies of its host.
+    """The (host, run) of ``shared`` that are surely on most bodies of their host.
 
     Pages with equal blocks count once. ``own`` has a row for each page, ``shared`` one for each repeated run in it.
     """
@@ -267,7 +336,7 @@ def _judged(own, shared):
     hits = held.join(pages.filter("not copy"), ["host", "digest"]).groupBy("host", "run").agg(
         F.count("*").alias("hits"), F.max("distinct_pages").alias("distinct_pages")).join(copies, "host", "left")
     bodies = F.col("distinct_pages") - F.coalesce("copies", F.lit(0))
-    return hits.filter(_lower(F.col("hits"), bodies) > SITE_SHARE).select("host", "run", F.lit(True).alias("boilerplate"))
+    return hits.filter(_lower(F.col("hits"), bodies) > SITE_SHARE).select("host", "run")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -285,18 +354,14 @@ def main_text(pages: DataFrame) -> DataFrame:
     runs_of = sums.groupBy("host", "run").agg(
         F.sum("pages").alias("pages"), F.min("low").alias("low"), F.max("high").alias("high"))
     # Found on one page, or on copies of one page only: no repeat.
-    repeated = written(runs_of.filter("pages > 1 and low <> high").select("host", "run", "pages"), "runs")
-    hosts = written(keyed.groupBy("host").agg(F.count("*").alias("site")), "hosts")
-    repeated = written(repeated.join(hosts, "host").select(
-        "host", "run", ((F.col("site") >= SITE_PAGES) & (F.col("pages") > SITE_SHARE * F.col("site"))).alias("sitewide")), "repeats")
+    repeated = written(runs_of.filter("pages > 1 and low <> high").select("host", "run"), "repeats")
     own = written(keyed.select("u1", "u2", "host", "html").mapInArrow(
-        _page_runs, "u1 long, u2 int, host string, article boolean, digest long, total long, "
+        _page_runs, "u1 long, u2 int, host string, digest long, total long, "
         "runs array<struct<at int, run long, blocks int, words bigint>>"), "page-runs")
-    started = own.select("u1", "u2", "host", "article", "digest", "total", F.inline("runs"))
+    started = own.select("u1", "u2", "host", "digest", "total", F.inline("runs"))
     shared = written(started.join(repeated, ["host", "run"]), "shared")
     judged = written(_judged(own, shared), "judged")
-    covered = shared.join(judged, ["host", "run"], "left").filter(
-        (F.col("article") & F.col("sitewide")) | (~F.col("article") & F.coalesce("boilerplate", F.lit(False))))
+    covered = shared.join(judged, ["host", "run"], "left_semi")
     gone = written(covered.select("u1", "u2", "at", "blocks").distinct().groupBy("u1", "u2").agg(
         F.collect_list(F.struct("at", "blocks")).alias("gone")), "gone")
     rows = keyed.join(gone, ["u1", "u2"], "left").select("page_id", "url", "html", "gone")

@@ -294,6 +294,36 @@ def test_blocks_of_a_page():
     assert pages.blocks("") == [] and pages.blocks("<p>a<p>b") == [(0, "a"), (0, "b")]
 
 
+def test_marked_elements_are_judged_by_what_they_hold():
+    texts = lambda page: [t for _, t in pages.blocks(page)]
+    story = "<p>A story of some length is told here.</p><p>It goes on for a while.</p>"
+    told = ["A story of some length is told here.", "It goes on for a while."]
+    for words in ("site has-sidebar", "no-sidebar", "comments-open", "post-related-7", "entry with-ads"):
+        assert texts(f'<div class="{words}">{story}<div class="sidebar">More of our stories</div></div><p>Skip</p>')[:2] == told
+        assert texts(f'<div class="page {words}"><x-app id="no-menu">{story}</x-app></div>') == told
+    for wrapper in ("banner", "site sidebar"):
+        assert texts(f'<div class="{wrapper}"><article>{story}</article></div>') == told
+        assert texts(f'<div class="{wrapper}"><h1>Head</h1>{story}</div>') == ["Head", *told]
+    # Comments stay out however long they are, with or without an article beside them.
+    comments = "<div class='comments'>" + "<p>I have much to say about all that and more</p>" * 20 + "</div>"
+    assert texts(f"<article>{story}</article>{comments}") == texts(f"<div>{story}</div>{comments}") == told
+    assert texts(f"<article>{story}{comments}</article>") == told and texts(comments) == []
+    assert texts(f"<article>{story}<section id=comments><article class=comment><p>No!</p></article></section></article>") == told
+    assert texts(f"<article>{story}<p>Say <span class=ad>buy</span> no more</p></article>") == [*told, "Say no more"]
+    assert texts('<div class="cookie-notice"><p>We use cookies</p></div>') == []
+
+
+def test_markup_that_is_not_well_formed():
+    texts = lambda page: [t for _, t in pages.blocks(page)]
+    assert texts("<p data-x=it's>First</p><p>It's the second</p><p>Third</p>") == ["First", "It's the second", "Third"]
+    assert texts('<p title="a > b">One</p><p title=\'"\'>Two</p><p "odd>Three</p><p x="open>Four</p>') == ["One", "Two", "Three", "Four"]
+    assert texts("<article><p>If <math><mi>x</mi></math> is <object>an object</object></p><noscript>told</noscript></article>") == [
+        "If x is an object", "told"]
+    assert texts("<noscript>Turn on scripts</noscript><p hidden>no</p><p class='md hidden'>yes</p><p style='display: none'>no</p>") == ["yes"]
+    deep = "<div class=ad>" * 20_000 + "<p>x</p>"
+    assert texts(deep) == [] and texts("<p>a</p>" + "<a b='" * 2000) == ["a", ("<a b='" * 2000)]
+
+
 def test_runs_of_a_suffix_array():
     pick = random.Random(4)
     streams = [np.array([pick.randint(1, 3) for _ in range(pick.randint(0, 30))], dtype=np.uint64) for _ in range(20)]
@@ -328,6 +358,13 @@ def test_repeated_runs_go_where_no_article_is_marked(spark):
     assert found[9] == found[0] == "Story number 0 tells of something else entirely"
     assert found[10].startswith("This site") and found[11] == found[None] == ""
     assert found[101] == "1 is a story about a long way to go from here"
+    # Hosts of any size, and rows that are there twice, are judged by one rule.
+    notice = "<p>Printed here by leave of the old people of the north</p>"
+    small = [(i, f"http://h{n}/{i}", f"<article><p>Tale {i} of {n} is about a long way to go from here</p>{notice}</article>")
+             for n in (2, 3, 10, 19, 20) for i in range(n)]
+    small += [row for row in small if row[1].startswith("http://h2/")]
+    kept = {r.url: r.text for r in pages.main_text(spark.createDataFrame(small, frame.schema)).collect()}
+    assert {url for url, text in kept.items() if "Printed" in text} == {"http://h2/0", "http://h2/1"}
     assert found[203].endswith("stays there")
     assert pages.main_text(frame.limit(0)).count() == 0
 

@@ -183,19 +183,22 @@ def fit(texts, languages, epochs=25, rate=0.3, decay=1e-3, piece=40, seen=2) ->
     return Model(labels, table.astype(np.float32), trans, init)
 
 
-def train(documents: DataFrame, fold=4, held=2, per_language=100) -> Model | None:
+def train(documents: DataFrame, fold=4, held=2, per_language=100, bytes_per_language=16 << 20) -> Model | None:
     """Learns from up to ``per_language`` texts of each language, the first ones in hashed order of id.
 
-    Only rows with a language and with crc32(doc_id) modulo ``fold`` other than ``held`` are looked at.
-    None if there is no such row.
+    Only rows with a language and with crc32(doc_id) modulo ``fold`` other than ``held`` are looked at. Of
+    the rows of an id in one language the one with the least hash of its text counts. Texts that would take those
+    of a language over ``bytes_per_language`` are not learnt from. None if there is no row to learn from.
     """
     usable = (bucket_of("doc_id", fold) != held) & F.col("lang").isNotNull() & F.col("text").isNotNull()
-    rows = documents.filter(usable).select("doc_id", "lang")
+    rows = documents.filter(usable).select("doc_id", "lang", "text").withColumn("hash", F.xxhash64("text"))
+    single = rows.groupBy("doc_id", "lang").agg(F.min(F.struct("hash", F.octet_length("text").alias("bytes"))).alias("least"))
     first = Window.partitionBy("lang").orderBy(hashed_order("doc_id"), "doc_id")
-    chosen = rows.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= per_language)
-    chosen = chosen.select("doc_id", "lang").distinct()
-    sample = documents.filter(usable).join(F.broadcast(chosen), ["doc_id", "lang"]).select("doc_id", "lang", "text")
-    sample = sorted(tuple(r) for r in sample.collect())
+    small = single.select("doc_id", "lang", "least.*").filter(F.col("bytes") <= bytes_per_language)
+    chosen = small.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= per_language)
+    chosen = chosen.withColumn("so_far", F.sum("bytes").over(first)).filter(F.col("so_far") <= bytes_per_language)
+    found = rows.join(F.broadcast(chosen.select("doc_id", "lang", "hash")), ["doc_id", "lang", "hash"])
+    sample = sorted(tuple(r) for r in found.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect())
     if not sample:
         return None
     return fit([t for _, _, t in sample], [lang for _, lang, _ in sample])

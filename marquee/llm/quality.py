@@ -120,21 +120,29 @@ def fit(positives, unlabelled, prior, steps=3000, rate=0.1, decay=3e-6) -> Model
 def _measured(batches):
     for batch in slices(batches):
         rows = features(batch.column("text"))
-        yield pa.RecordBatch.from_arrays([pa.array(list(rows), pa.list_(pa.float64()))], names=["row"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(list(rows), pa.list_(pa.float64()))], names=["doc_id", "row"])
 
 
 def _sample(documents, ids, most):
-    """Features of up to ``most`` ids, the first ones in hashed order."""
+    """Features of up to ``most`` ids, the first ones in hashed order, sorted by id.
+
+    Of the rows of an id the one with the least hash of its text counts, the least text if hashes are equal.
+    """
     chosen = ids.select("doc_id").distinct().orderBy(hashed_order("doc_id"), "doc_id").limit(most)
-    rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text")
-    found = rows.mapInArrow(_measured, "row array<double>").limit(2 * most).collect()
+    rows = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    single = rows.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"))
+    key = documents.schema["doc_id"].dataType.simpleString()
+    found = single.select("doc_id", "least.text").mapInArrow(_measured, f"doc_id {key}, row array<double>").collect()
+    found.sort(key=lambda r: r.doc_id)
     return np.array([r.row for r in found]).reshape(len(found), len(FEATURES))
 
 
 def train(documents: DataFrame, labels: DataFrame, positives=4000, unlabelled=8000, fold=5) -> Model | None:
     """Learns from rows whose crc32(doc_id) modulo ``fold`` is not 0.
 
-    The samples are bounded by ``positives`` and ``unlabelled`` ids. None without any positive.
+    The samples are bounded by ``positives`` and ``unlabelled`` ids, with one row of each; risk and edges
+    of bins come from them. Repeated rows count once. None without any positive.
     """
     allowed = bucket_of("doc_id", fold) != 0
     known = labels.filter(allowed).filter("quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))

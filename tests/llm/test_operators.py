@@ -489,3 +489,22 @@ def test_nearest(spark):
         assert sorted(map(tuple, found)) == sorted(expected)
     none = frame.limit(0)
     assert neighbours.nearest(none, frame).count() == 0 and neighbours.nearest(frame, none).count() == 0
+
+
+def test_training_takes_one_row_of_an_id(spark):
+    """A third of the rows has one id; what is learnt is bounded by ids and does not depend on the order of rows."""
+    pick = random.Random(9)
+    words = {"en": "the old mill of a town stands near water and stone".split(), "fr": "le vieux moulin de la ville est sur une rive".split()}
+    text = lambda lang: " ".join(pick.choice(words[lang]) for _ in range(pick.randint(5, 60)))
+    rows = [(i, text(lang), lang) for i in range(60) for lang in ("en", "fr")] + [(1, text("en"), "en") for _ in range(60)]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(60)], "doc_id long, quality int")
+    seen = []
+    for turn in range(2):
+        pick.shuffle(rows)
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2 + turn)
+        good = quality._sample(docs, docs.filter("doc_id < 40"), 30)
+        seen.append((language.train(docs, per_language=10), quality.train(docs, labels, positives=20, unlabelled=30), good))
+    (tongue, kind, good), (tongue2, kind2, good2) = seen
+    assert (tongue.table == tongue2.table).all() and (tongue.trans == tongue2.trans).all()
+    assert (kind.weights == kind2.weights).all() and (good == good2).all() and len(good) == 30
+    assert language.train(docs, bytes_per_language=10) is None

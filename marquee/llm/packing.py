@@ -4,7 +4,12 @@ Documents are cut into pieces of at most the longest permitted length and dealt
 some thousand pieces, which are packed independently; what a shard loses is less than a few sequences.
 Inside a shard pieces go in order of decreasing size to the open sequence, of whatever length, that
 they fill best. If none has room, a sequence opens whose length costs least per word among those that
-hold the piece. At the end each sequence shrinks to the shortest permitted length for its contents.
+hold the piece and do not exceed a limit. Which lengths open is chosen for all pieces of the shard jointly: every
+permitted length is tried as the limit, and the packing that costs least is taken. At the end each sequence
+shrinks to the shortest permitted length for its contents, which is part of the cost.
+
+Rows of equal id and text are counted first and dealt in bounded stretches, so that a group of copies
+of any size is spread over the shards.
 """
 
 from bisect import bisect_left, insort
@@ -15,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.frames import words_of
+from marquee.session import written
 
 LENGTHS = (256, 512, 1024, 2048, 4096, 8192)
 SEQUENCE = "bin string, capacity int, used int, doc_ids array<bigint>, starts array<bigint>, sizes array<int>"
@@ -25,8 +31,8 @@ def cost(length):
     return length + length * length / 65536 + 64
 
 
-def best_fit(sizes, lengths):
-    """Sequences as lists of piece numbers, with the length of each; sizes of 0 go to the first one."""
+def _filled(sizes, lengths, limit):
+    """Best fit in decreasing order, opening lengths up to ``limit`` where they hold the piece."""
     order = sorted(range(len(sizes)), key=lambda i: -sizes[i])
     room, with_room = [], defaultdict(list)  # the distinct amounts of room, and who has them
     bins = []
@@ -39,7 +45,8 @@ def best_fit(sizes, lengths):
             if not with_room[left]:
                 room.pop(at)
         else:
-            left = min((x for x in lengths if x >= size), key=lambda x: cost(x) / x)
+            holding = [x for x in lengths if x >= size]
+            left = min([x for x in holding if x <= limit] or holding[:1], key=lambda x: cost(x) / x)
             mine = len(bins)
             bins.append([])
         bins[mine].append(i)
@@ -51,6 +58,16 @@ def best_fit(sizes, lengths):
     return [(b, n, min(x for x in lengths if x >= n)) for b, n in zip(bins, used)]
 
 
+def best_fit(sizes, lengths):
+    """Sequences as lists of piece numbers, with the words and the length of each; sizes of 0 go to the first one.
+
+    Of the packings for every limit the one of least cost, the one of the shorter limit if costs are equal.
+    ``lengths`` are ascending.
+    """
+    tried = (_filled(sizes, lengths, limit) for limit in lengths)
+    return min(tried, key=lambda bins: sum(cost(c) for _, _, c in bins))
+
+
 def _pieces(sizes, longest):
     """(row, start, size) of every piece; a row of size 0 is one piece."""
     for row, size in enumerate(sizes):
@@ -60,7 +77,8 @@ def _pieces(sizes, longest):
 
 def _packed(lengths, with_text):
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["size", "doc_id", "digest"], kind="stable")
+        group = group.sort_values(["size", "doc_id", "digest", "copies"], kind="stable")
+        group = group.loc[group.index.repeat(group["copies"])]
         ids = [None if pd.isna(x) else int(x) for x in group["doc_id"].tolist()]
         pieces = list(_pieces(group["size"].tolist(), max(lengths)))
         words = [(t or "").encode().split() for t in group["text"]] if with_text else None
@@ -94,6 +112,19 @@ def pack(documents: DataFrame, lengths=LENGTHS, shard_rows=4096, shard_bytes=16
     )
     whole = documents.agg(F.count("*").alias("rows"), F.sum(F.octet_length("text")).alias("bytes")).first()
     shards = max(1, -(-whole["rows"] // shard_rows), -(-(whole["bytes"] or 0) // shard_bytes))
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(shards)))
+    # An eighth of a shard holds a stretch of copies.
+    bytes_each = F.greatest(F.coalesce(F.octet_length("text"), F.lit(0)), F.lit(1))
+    stretch = F.greatest(F.lit(1), F.least(F.lit(shard_rows // 8), F.floor(F.lit(shard_bytes // 8) / bytes_each))).cast("long")
+    counts = documents.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"), stretch.alias("stretch"))
+    hot = written(counts.groupBy("id", "hash").agg(
+        F.count("*").alias("rows"), F.max("stretch").alias("stretch")).filter("rows > stretch"), "hot-rows")
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("hash"))
+    alone = rows.join(hot, same, "left_anti").select("*", F.lit(1).cast("long").alias("copies"), F.lit(0).cast("long").alias("part"))
+    kept = [F.min(c).alias(c) for c in rows.columns if c not in ("doc_id", "digest")]
+    one = rows.join(hot, same).groupBy("doc_id", "digest").agg(*kept, F.max("rows").alias("rows"), F.max("stretch").alias("stretch"))
+    last = F.floor((F.col("rows") - 1) / F.col("stretch")).cast("long")
+    parts = one.select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("part")).select(
+        *rows.columns, F.least("stretch", F.col("rows") - F.col("part") * F.col("stretch")).alias("copies"), "part")
+    dealt = alone.unionByName(parts).withColumn("shard", F.pmod(F.xxhash64("doc_id", "digest") + F.col("part"), F.lit(shards))).drop("part")
     schema = SEQUENCE + (", texts array<string>" if with_text else "")
     return dealt.groupBy("shard").applyInPandas(_packed(tuple(sorted(lengths)), with_text), schema)

@@ -473,6 +473,49 @@ def test_best_fit_wastes_little():
     assert sum(c for _, _, c in packed) < 1.02 * sum(sizes)
 
 
+def _plain_best_fit(sizes, lengths, limit):
+    """Tries every open sequence for every piece."""
+    bins = []
+    for size in sorted(sizes, reverse=True):
+        fitting = [b for b in bins if b[1] >= size]
+        if fitting:
+            mine = min(fitting, key=lambda b: b[1])
+        else:
+            able = [x for x in lengths if x >= size]
+            short = [x for x in able if x <= limit] or [min(able)]
+            mine = [[], min(short, key=lambda x: packing.cost(x) / x)]
+            bins.append(mine)
+        mine[0].append(size)
+        mine[1] -= size
+    return sorted(min(x for x in lengths if x >= sum(b)) for b, _ in bins)
+
+
+def test_lengths_are_opened_jointly():
+    pick = random.Random(16)
+    lengths, limits = packing.LENGTHS, set()
+    for turn in range(60):
+        sizes = [pick.randint(0, pick.choice((90, 300, 2100, 8192))) for _ in range(pick.randint(1, 60))]
+        plain = {limit: _plain_best_fit(sizes, lengths, limit) for limit in lengths}
+        for limit in lengths:
+            assert sorted(c for _, _, c in packing._filled(sizes, lengths, limit)) == plain[limit]
+        least = min(lengths, key=lambda limit: sum(map(packing.cost, plain[limit])))
+        assert sorted(c for _, _, c in packing.best_fit(sizes, lengths)) == plain[least]
+        limits.add(least)
+    assert len(limits) > 2
+
+
+def test_equal_rows_are_packed_in_all_shards(spark):
+    rows = [(7, "one two three")] * 4000 + [(None, None)] * 1000 + [(8, "one two three")] * 3 + [(i, f"text {i}") for i in range(100, 1100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = packing.pack(docs, shard_rows=1000, with_text=True).collect()
+    packed = collections.Counter(pair for r in found for pair in zip(r.doc_ids, r.texts))
+    assert packed == collections.Counter((i, t or "") for i, t in rows)
+    shards = collections.Counter()
+    for r in found:
+        shards[r.bin.split("-")[0]] += len(r.doc_ids)
+    assert len(shards) == 7 and max(shards.values()) < 1300
+
+
 def test_nearest(spark):
     draw = np.random.default_rng(8)
     rows = [(i, draw.normal(size=8).astype(np.float32).tolist(), 0) for i in range(400)]

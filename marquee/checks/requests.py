@@ -12,8 +12,9 @@ from marquee.checks.tables import stream_ratings
 from marquee.operators import online, serving, similarity
 from marquee.operators.statistics import gather_recs
 from marquee.plans import ingest, jobs
-from marquee.session import written
+from marquee.session import scratch, written
 from marquee.sources import sample
+from marquee.sources.tables import TableStore
 
 N = 6
 
@@ -153,24 +154,71 @@ def serve_guess(spark, folder):
     )
 
 
-@check("ingest_rating_events", query(
+STAR_CLICKS = """
+    SELECT CAST(user_id AS INT) AS uid, CAST(event_id % (SELECT n FROM np) AS INT) AS mid,
+           round(CAST(1 + event_id % 10 AS DOUBLE) / 2, 2) AS score,
+           CAST(floor(epoch(ts)) AS INT) AS "timestamp"
+    FROM events"""
+
+
+AFTER_CLICKS = query(
     """
     SELECT r.uid, r.mid, coalesce(u.score, r.score) AS score, r."timestamp"
     FROM ratings r LEFT JOIN updates u ON u.uid = r.uid AND u.mid = r.mid
     UNION ALL
     SELECT uid, mid, score, "timestamp" FROM updates u
     WHERE NOT EXISTS (SELECT 1 FROM ratings r WHERE r.uid = u.uid AND r.mid = u.mid)""",
-    clicks="""
-    SELECT CAST(user_id AS INT) AS uid, CAST(event_id % (SELECT n FROM np) AS INT) AS mid,
-           round(CAST(1 + event_id % 10 AS DOUBLE) / 2, 2) AS score,
-           CAST(floor(epoch(ts)) AS INT) AS "timestamp"
-    FROM events""",
+    clicks=STAR_CLICKS,
     updates="""
     SELECT uid, mid, score, "timestamp" FROM (
         SELECT *, row_number() OVER (PARTITION BY uid, mid ORDER BY "timestamp" DESC, score DESC) AS pos FROM clicks)
     WHERE pos = 1""",
-))
+)
+
+
+@check("ingest_rating_events", AFTER_CLICKS)
 def ingest_rating_events(spark, folder):
+    return _ingested(spark, folder)[0]
+
+
+@check("ingest_rating_history", query('SELECT uid, mid, score, "timestamp" FROM clicks', clicks=STAR_CLICKS))
+def ingest_rating_history(spark, folder):
+    """The history rows of the same ingest, one per click."""
+    return _ingested(spark, folder)[1]
+
+
+@check("ingest_rating_log", query(
+    """
+    SELECT concat('MOVIE_RATING_PREFIX:', CAST(uid AS VARCHAR), '|', CAST(mid AS VARCHAR), '|',
+                  CAST(score AS VARCHAR), '|', CAST("timestamp" AS VARCHAR)) AS "value" FROM clicks""",
+    clicks=STAR_CLICKS,
+))
+def ingest_rating_log(spark, folder):
+    """The log lines of the same ingest, one per click."""
+    return _ingested(spark, folder)[2]
+
+
+def _after_ingest(spark, folder):
+    store = TableStore(spark, scratch(spark, "store"))
+    store.overwrite("Rating", sample.ratings(spark, folder))
+    ingest.store_ratings(store, _ingested(spark, folder)[1])
+    return store
+
+
+@check("ingest_stored_ratings", AFTER_CLICKS)
+def ingest_stored_ratings(spark, folder):
+    """Rating after the same ingest into its stored buckets."""
+    return _after_ingest(spark, folder).read("Rating")
+
+
+@check("ingest_stored_clicks", query(
+    'SELECT uid, mid, max("timestamp") AS "timestamp" FROM clicks GROUP BY uid, mid', clicks=STAR_CLICKS))
+def ingest_stored_clicks(spark, folder):
+    """The times of the applied clicks after the same ingest."""
+    return _after_ingest(spark, folder).read("RatingClicks")
+
+
+def _ingested(spark, folder):
     """Every event as a star click with a time in milliseconds."""
     n = sample.table(spark, folder, "part").agg(F.count("*").alias("n"))
     clicks = sample.table(spark, folder, "events").select(
@@ -178,5 +226,4 @@ def ingest_rating_events(spark, folder):
         (1 + F.col("event_id") % 10).cast("double").alias("stars"),
         F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp"),
     )
-    updated, _, _ = ingest.ingest_ratings(clicks, sample.ratings(spark, folder))
-    return updated
+    return ingest.ingest_ratings(clicks, sample.ratings(spark, folder))

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 
 from marquee.functions import scalars as S
 from marquee.operators.merges import applied_clicks, upsert_ratings
+from marquee.session import written
 from marquee.sources.tables import TableStore
 
 
@@ -25,8 +26,9 @@ def ingest_ratings(clicks: DataFrame, ratings: DataFrame):
 def store_ratings(store: TableStore, scored: DataFrame):
     """Applies scored clicks (uid, mid, score, timestamp) to Rating and keeps their times in RatingClicks.
 
-    The clicks are stored first: until Rating follows, the live job counts them by the events it has.
+    Only the buckets of the clicks' users are read and replaced; the same clicks again change nothing. The
+    clicks are stored first: until Rating follows, the live job counts them by the events it has.
     """
-    known = store.read("RatingClicks") if store.exists("RatingClicks") else scored.limit(0)
-    store.overwrite("RatingClicks", applied_clicks(known, scored))
-    return store.overwrite("Rating", upsert_ratings(store.read("Rating"), scored))
+    scored = written(scored, "scored-clicks")
+    store.update("RatingClicks", scored, lambda known: applied_clicks(known, scored))
+    return store.update("Rating", scored, lambda known: upsert_ratings(known, scored))

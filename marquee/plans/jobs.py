@@ -123,10 +123,16 @@ def log_filter(lines, sink):
 
 
 def live_lists(store: TableStore, root, similar) -> live.LiveLists:
-    """The handler on the stored tables, each read anew for each batch."""
-    applied = lambda: store.read("RatingClicks") if store.exists("RatingClicks") else store.spark.createDataFrame([], schemas.TABLES["RatingClicks"])
+    """The handler on the stored tables, each read anew for each batch; history and Rating have the same buckets."""
+
+    def applied(buckets=None):
+        if store.exists("RatingClicks"):
+            return store.read("RatingClicks", buckets=buckets)
+        return store.spark.createDataFrame([], schemas.TABLES["RatingClicks"])
+
     return live.LiveLists(
-        store.spark, root, lambda: stored_similar(store, similar), lambda: store.read("Rating"), load_clicks=applied)
+        store.spark, root, lambda: stored_similar(store, similar), lambda buckets=None: store.read("Rating", buckets=buckets),
+        buckets=store.buckets, load_clicks=applied)
 
 
 def live_recommendations(store: TableStore, lines, root, checkpoint, similar="MovieRecs", trigger=live.TRIGGER):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from marquee import schemas
 from marquee.operators.online import HISTORY_READ, last_events, latest_lists, live_lists, recent_ratings
-from marquee.sources.tables import TableStore
+from marquee.sources.tables import TableStore, bucket_of
 
 TRIGGER = "2 seconds"
 HISTORY = "uid int, mid int, score double, timestamp int, bucket int, batch_id long"
@@ -25,12 +25,13 @@ class LiveLists:
     a batch twice changes nothing. ``load_index`` and ``load_ratings`` are called for each batch:
     a similarity table or rating table that was replaced in between takes effect. The history is
     laid out in ``buckets`` of users; a batch reads those of its own users. More buckets suit a longer
-    history with smaller batches. ``load_clicks`` gives the clicks that the ingest has applied to the stored ratings
+    history with smaller batches. ``load_ratings`` and ``load_clicks`` get the numbers of the batch's buckets, or
+    None for all, and may leave out the rows of others. ``load_clicks`` gives the clicks that the ingest has applied to the stored ratings
     (uid, mid, timestamp), which tell that a stored rating and an event are one. Every ``compact_every`` batches the older batches are merged, so that
     the number of folders and files stays bounded however long the job runs.
     """
 
-    def __init__(self, spark, root, load_index, load_ratings=None, mode="counted", buckets=8, compact_every=500,
+    def __init__(self, spark, root, load_index, load_ratings=None, mode="counted", buckets=16, compact_every=500,
                  load_clicks=None):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -98,9 +99,9 @@ class LiveLists:
         rows = once(of_users(rows))
         if self.load_ratings is None:
             return rows
-        stored = of_users(self.load_ratings().select(*schemas.RATING.names))
+        stored = of_users(self.load_ratings(buckets).select(*schemas.RATING.names))
         if self.load_clicks is not None:
-            clicks = of_users(self.load_clicks()).select("uid", "mid", F.col("timestamp").alias("clicked"))
+            clicks = of_users(self.load_clicks(buckets)).select("uid", "mid", F.col("timestamp").alias("clicked"))
             clicked = stored.join(clicks, ["uid", "mid"]).withColumn("timestamp", F.col("clicked"))
             stored = stored.join(clicks, ["uid", "mid"], "left_anti").unionByName(once(clicked))
         return rows.unionByName(stored.join(rows, EVENT, "left_anti"))
@@ -110,8 +111,7 @@ class LiveLists:
         if batch_id and batch_id % self.compact_every == 0:
             self.compact(batch_id)
         mine = f"{self.history_path}/batch_id={batch_id}"
-        bucket = F.pmod(F.xxhash64("uid"), F.lit(self.buckets)).cast("int")
-        ratings.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(mine)
+        ratings.withColumn("bucket", bucket_of("uid", self.buckets)).write.mode("overwrite").partitionBy("bucket").parquet(mine)
         # Read back in the caller's session: the session of a stream runs without adaptive plans.
         batch = self.spark.read.schema(HISTORY).parquet(mine)
         # At most ``buckets`` numbers.

@@ -172,3 +172,65 @@ def test_old_versions_go(spark, tmp_path, frame):
         store.overwrite("numbers", frame([(n,)], "n int"))
     assert store.versions("numbers") == [3, 4]
     assert rows(store.read("numbers", store.overwrite("numbers", frame([(9,)], "n int")).schema)) == [(9,)]
+
+
+def bucket_files(store, name):
+    """Folder of each bucket with its files and their times of change."""
+    found = {}
+    for folder, _, files in os.walk(store.path(name)):
+        if "=" in folder:
+            found[folder.rpartition("=")[2]] = {f: os.stat(os.path.join(folder, f)).st_mtime_ns for f in files if f.endswith(".parquet")}
+    return found
+
+
+def test_clicks_replace_the_buckets_of_their_users_only(spark, tmp_path, frame):
+    store = TableStore(spark, str(tmp_path), buckets=8)
+    stored = [(u, m, 3.0, u * 10 + m) for u in range(200) for m in range(3)]
+    store.overwrite("Rating", frame(stored, RATING))
+    before = bucket_files(store, "Rating")
+    assert len(before) == 8
+    clicks = [(5, 1, 1.0, 9000), (5, 77, 4.0, 9001), (5, 77, 5.0, 9002)]
+    expected = sorted([r for r in stored if r[:2] != (5, 1)] + [(5, 1, 1.0, 51), (5, 77, 5.0, 9002)])
+    for _ in range(2):  # a replay changes nothing
+        assert rows(ingest.store_ratings(store, frame(clicks, RATING))) == expected
+        after = bucket_files(store, "Rating")
+        assert sum(after[b] != before[b] for b in before) == 1 and after.keys() == before.keys()
+        assert rows(store.read("RatingClicks")) == [(5, 1, 9000), (5, 77, 9002)]
+    # One bucket is what a batch of one user reads.
+    mine = [b for b in before if after[b] != before[b]]
+    pruned = store.read("Rating", buckets=[int(mine[0])])
+    assert 0 < len(pruned.inputFiles()) and len(set(pruned.collect())) < len(expected) / 4
+    assert "PartitionFilters: [isnotnull(bucket_of_8" in pruned._jdf.queryExecution().toString()
+    assert not store.exists("RatingStaged") and store.versions("Rating") == [1]
+    assert rows(ingest.store_ratings(store, frame([], RATING))) == expected
+
+
+def test_a_dead_update_is_finished(spark, tmp_path, frame):
+    store = TableStore(spark, str(tmp_path), buckets=4)
+    stored = [(u, 1, 3.0, u) for u in range(40)]
+    store.overwrite("Rating", frame(stored, RATING))
+    finish, store.finish = store.finish, lambda name: None
+    ingest.store_ratings(store, frame([(7, 1, 1.0, 900)], RATING))
+    assert rows(store.read("Rating")) == stored and store.exists("RatingStaged")
+    store.finish = finish
+    # It died between the removal of an old bucket and the move of the new one.
+    touched = [f for f in store.names(store.path("RatingStaged")) if "=" in f]
+    store.remove(f"{store.path('Rating')}/{touched[0]}")
+    assert rows(ingest.store_ratings(store, frame([(8, 1, 2.0, 901)], RATING))) == sorted(
+        [r for r in stored if r[0] not in (7, 8)] + [(7, 1, 1.0, 7), (8, 1, 2.0, 8)])
+    # What was staged for a version that has been replaced is dropped.
+    store.finish = lambda name: None
+    ingest.store_ratings(store, frame([(7, 1, 5.0, 902)], RATING))
+    store.finish = finish
+    store.overwrite("Rating", frame(stored, RATING))
+    assert rows(ingest.store_ratings(store, frame([(9, 2, 5.0, 903)], RATING))) == sorted([*stored, (9, 2, 5.0, 903)])
+
+
+def test_a_table_in_other_buckets_is_laid_out_anew(spark, tmp_path, frame):
+    TableStore(spark, str(tmp_path), buckets=4).overwrite("Rating", frame([(1, 1, 3.0, 5)], RATING))
+    store = TableStore(spark, str(tmp_path), buckets=3)
+    assert rows(store.read("Rating", buckets=[0, 1, 2])) == [(1, 1, 3.0, 5)]
+    assert rows(ingest.store_ratings(store, frame([(1, 1, 2.0, 6), (None, 4, 2.0, 6)], RATING)).filter("uid = 1")) == [(1, 1, 2.0, 5)]
+    frame([(1, 1, 3.0, 5)], RATING).write.parquet(f"{tmp_path}/plain/Rating/v00000001")
+    plain = TableStore(spark, f"{tmp_path}/plain")
+    assert rows(ingest.store_ratings(plain, frame([(1, 1, 2.0, 6)], RATING))) == [(1, 1, 2.0, 5)]

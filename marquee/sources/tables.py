@@ -115,6 +115,8 @@ class TableStore:
         key = F.col(KEYED[name]).cast(TABLES[name][KEYED[name]].dataType)
         # At most ``buckets`` numbers.
         touched = [r.bucket for r in keys.select(bucket_of(key, self.buckets).alias("bucket")).distinct().collect()]
+        if not touched:
+            return self.read(name)
         rows = change(self.read(name, buckets=touched)).select(*TABLES[name].names)
         rows = rows.withColumn(self.bucket, bucket_of(key, self.buckets)).hint("rebalance", self.bucket)
         # The staged version carries the number of the version that it belongs to.
@@ -126,9 +128,10 @@ class TableStore:
         """Takes over staged buckets, if there are any; doing it twice changes nothing."""
         staged, current = self.versions(f"{name}Staged"), self.versions(name)[-1]
         if current in staged:
-            rows = self.spark.read.parquet(self.path(f"{name}Staged", current))
-            target = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            target.partitionBy(self.bucket).parquet(self.path(name, current))
+            rows = self.spark.read.schema(TABLES[name]).parquet(self.path(f"{name}Staged", current))
+            if self.bucket in rows.columns:  # without any row there are no buckets
+                target = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                target.partitionBy(self.bucket).parquet(self.path(name, current))
         if staged:
             self.remove(f"{self.root}/{name}Staged")
 

@@ -132,7 +132,7 @@ def live_lists(store: TableStore, root, similar) -> live.LiveLists:
 
     return live.LiveLists(
         store.spark, root, lambda: stored_similar(store, similar), lambda buckets=None: store.read("Rating", buckets=buckets),
-        buckets=store.buckets, load_clicks=applied)
+        buckets=store.buckets, load_clicks=applied, load_buckets=True)
 
 
 def live_recommendations(store: TableStore, lines, root, checkpoint, similar="MovieRecs", trigger=live.TRIGGER):

@@ -25,19 +25,20 @@ class LiveLists:
     a batch twice changes nothing. ``load_index`` and ``load_ratings`` are called for each batch:
     a similarity table or rating table that was replaced in between takes effect. The history is
     laid out in ``buckets`` of users; a batch reads those of its own users. More buckets suit a longer
-    history with smaller batches. ``load_ratings`` and ``load_clicks`` get the numbers of the batch's buckets, or
-    None for all, and may leave out the rows of others. ``load_clicks`` gives the clicks that the ingest has applied to the stored ratings
+    history with smaller batches. With ``load_buckets`` the functions ``load_ratings`` and ``load_clicks`` get the
+    numbers of the batch's buckets, or None for all, and may leave out the rows of others. ``load_clicks`` gives the clicks that the ingest has applied to the stored ratings
     (uid, mid, timestamp), which tell that a stored rating and an event are one. Every ``compact_every`` batches the older batches are merged, so that
     the number of folders and files stays bounded however long the job runs.
     """
 
     def __init__(self, spark, root, load_index, load_ratings=None, mode="counted", buckets=16, compact_every=500,
-                 load_clicks=None):
+                 load_clicks=None, load_buckets=False):
         self.spark = spark
         self.root = root.rstrip("/")
         self.load_index = load_index
         self.load_ratings = load_ratings
         self.load_clicks = load_clicks
+        self.load_buckets = load_buckets
         self.mode = mode
         self.buckets = buckets
         self.compact_every = compact_every
@@ -99,9 +100,10 @@ class LiveLists:
         rows = once(of_users(rows))
         if self.load_ratings is None:
             return rows
-        stored = of_users(self.load_ratings(buckets).select(*schemas.RATING.names))
+        wanted = (buckets,) if self.load_buckets else ()
+        stored = of_users(self.load_ratings(*wanted).select(*schemas.RATING.names))
         if self.load_clicks is not None:
-            clicks = of_users(self.load_clicks(buckets)).select("uid", "mid", F.col("timestamp").alias("clicked"))
+            clicks = of_users(self.load_clicks(*wanted)).select("uid", "mid", F.col("timestamp").alias("clicked"))
             clicked = stored.join(clicks, ["uid", "mid"]).withColumn("timestamp", F.col("clicked"))
             stored = stored.join(clicks, ["uid", "mid"], "left_anti").unionByName(once(clicked))
         return rows.unionByName(stored.join(rows, EVENT, "left_anti"))

@@ -48,12 +48,27 @@ def _starts(n, shift):
     return F.when(n >= 4, F.sort_array(packed)).otherwise(F.array().cast("array<bigint>"))
 
 
-def _repeated(shift):
+def _likely(shift):
+    """Positions whose window has the hash bits of another one: all that repeat, and chance matches of the hash."""
     high = lambda x: F.call_function("shiftright", x, shift)
     near = lambda x, i: (high(x) == high(F.get("packed", i - 1))) | (high(x) == high(F.get("packed", i + 1)))
     found = F.filter("packed", lambda x, i: F.coalesce(near(x, i), F.lit(False)))
     mask = F.call_function("shiftleft", F.lit(1).cast("long"), shift) - 1
-    return F.sort_array(F.transform(found, lambda x: x.bitwiseAND(mask)))
+    return F.transform(found, lambda x: x.bitwiseAND(mask))
+
+
+def _windows():
+    """The three words at each of the ``likely`` positions, equal ones together."""
+    word = lambda p, i: F.get("words", p.cast("int") + i)
+    window = lambda p: F.struct(word(p, 0).alias("a"), word(p, 1).alias("b"), word(p, 2).alias("c"))
+    return F.sort_array(F.transform("likely", lambda p: F.struct(window(p).alias("w"), p.alias("p"))))
+
+
+def _repeated():
+    """Positions of ``windows`` whose words occur at another one, ascending: words decide, not hashes."""
+    same = lambda x, i: (x["w"] == F.get("windows", i - 1)["w"]) | (x["w"] == F.get("windows", i + 1)["w"])
+    found = F.filter("windows", lambda x, i: F.coalesce(same(x, i), F.lit(False)))
+    return F.sort_array(F.transform(found, lambda x: x["p"]))
 
 
 def _covered(starts):
@@ -122,14 +137,16 @@ def measure(documents: DataFrame) -> DataFrame:
     The histograms are ``classes``, and ``seen`` with ``uses``. Null, empty and blank texts have no words
     and fail the base rules. Columns of the input that are named like one of this module's are replaced.
     """
-    own = ["words", "n", "shift", "packed", "starts", "lines", "word_chars", "counted", "common", "seen", "classes",
+    own = ["words", "n", "shift", "packed", "likely", "windows", "starts", "lines", "word_chars", "counted", "common", "seen", "classes",
            "uses", "chars", "ref_lang", "ref_classes", "ref_words", "n_words", "n_symbols", "n_dup_lines",
            "n_repeat_words", "class_distance", "word_distance", "base_failed", "kept"]
     rows = bound(documents.drop(*own), words=words_of("text"))
     rows = bound(rows, n=F.size("words"))
     rows = bound(rows, shift=F.length(F.bin("n")))
     rows = bound(rows, packed=_starts(F.col("n"), F.col("shift")))
-    rows = bound(rows, starts=_repeated(F.col("shift")))
+    rows = bound(rows, likely=_likely(F.col("shift")))
+    rows = bound(rows, windows=_windows())
+    rows = bound(rows, starts=_repeated())
     text = F.coalesce("text", F.lit(""))
     worded = lambda line: F.length(F.translate(line, " \t\n\x0b\x0c\r", "")) > 0
     rows = bound(rows, lines=F.filter(F.split(text, "\n"), worded))
@@ -141,7 +158,7 @@ def measure(documents: DataFrame) -> DataFrame:
         "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
         "chars": F.length(text),
         "base_failed": (F.col("n") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n")),
-    }).drop("words", "packed", "starts", "lines", "n", "shift", "counted", "common")
+    }).drop("words", "packed", "likely", "windows", "starts", "lines", "n", "shift", "counted", "common")
 
 
 def judge(measured: DataFrame, reference: DataFrame) -> DataFrame:

@@ -172,6 +172,21 @@ def test_base_rules(docs, empty):
     assert divergence.quality(empty).count() == 0
 
 
+def test_repeats_are_decided_by_words(spark):
+    """With two hash bits nearly every window has a chance match."""
+    pick = random.Random(3)
+    words = [pick.choice("abcd") + pick.choice("xyz") for _ in range(400)]
+    rows = spark.createDataFrame([(words,)], "words array<string>").withColumn("shift", F.lit(62))
+    for name, column in (("packed", divergence._starts(F.size("words"), F.col("shift"))),
+                         ("likely", divergence._likely(F.col("shift"))), ("windows", divergence._windows()),
+                         ("starts", divergence._repeated())):
+        rows = rows.withColumn(name, column)
+    windows = [tuple(words[i: i + 3]) for i in range(398)]
+    found = rows.select("likely", "starts").first()
+    assert found.starts == [i for i, w in enumerate(windows) if windows.count(w) > 1]
+    assert len(found.likely) == 398 > len(found.starts) > 0
+
+
 def test_odd_characters_are_rejected(spark):
     plain = "the man and the dog of that house went to the sea for a day with you. " * 12
     pick = random.Random(5)

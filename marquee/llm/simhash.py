@@ -91,7 +91,7 @@ def near_pairs(prints: DataFrame, distance=3, segments=2) -> DataFrame:
     ).distinct()
 
 
-def components(pairs: DataFrame, rounds=60) -> DataFrame:
+def components(pairs: DataFrame) -> DataFrame:
     """(``node``, ``root``): the least node of each connected component of the pairs.
 
     Large-star and small-star rounds in turn: every round hangs nodes on smaller neighbours, and
@@ -100,7 +100,7 @@ def components(pairs: DataFrame, rounds=60) -> DataFrame:
     because Spark splits a hot key of a join only where both sides come straight from a shuffle.
     """
     edges = written(pairs.select(F.col("high").alias("u"), F.col("low").alias("v")), "edges")
-    for _ in range(rounds):
+    while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(written(least, "least"), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -114,7 +114,6 @@ def components(pairs: DataFrame, rounds=60) -> DataFrame:
         if parents.filter("n > 1").select("u").unionByName(open_ends).isEmpty():
             return small.select(F.col("u").alias("node"), F.col("v").alias("root"))
         edges = small
-    raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
 def groups(documents: DataFrame, shingle=3, distance=3) -> DataFrame:

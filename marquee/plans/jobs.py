@@ -32,7 +32,7 @@ def load(store: TableStore, movies_path, ratings_path, tags_path, mode="FAILFAST
 
 
 def index_documents(store: TableStore):
-    """SearchDocument to SearchPostings and SearchWords for searches, SearchTokens for more-like-this."""
+    """SearchDocument to SearchPostings, SearchWords and SearchSize, the index of searches and more-like-this."""
     documents = store.read("SearchDocument")
     fields = postings.split_fields(documents, "mid", schemas.MOVIE_TEXT)
     blocks = store.overwrite("SearchPostings", postings.laid_out(postings.block_rows(fields)), ("bucket",))
@@ -40,16 +40,13 @@ def index_documents(store: TableStore):
     return {
         "SearchPostings": blocks,
         "SearchWords": store.overwrite("SearchWords", words, ("bucket",)),
-        "SearchTokens": store.overwrite("SearchTokens", search.hashed_tokens(documents, "mid", schemas.MOVIE_TEXT)),
+        "SearchSize": store.overwrite("SearchSize", postings.document_count(fields)),
     }
 
 
-def like_index(store: TableStore) -> search.Index:
-    return search.Index(store.read("SearchTokens"), schemas.MOVIE_TEXT)
-
-
 def posting_index(store: TableStore) -> postings.Postings:
-    return postings.Postings(store.read("SearchPostings"), store.read("SearchWords"), schemas.MOVIE_TEXT)
+    blocks, words, size = (store.read(name) for name in ("SearchPostings", "SearchWords", "SearchSize"))
+    return postings.Postings(blocks, words, schemas.MOVIE_TEXT, size)
 
 
 def movie_search(store: TableStore, queries, n, fields=("name", "descri")):
@@ -60,7 +57,7 @@ def movie_search(store: TableStore, queries, n, fields=("name", "descri")):
 def movies_like(store: TableStore, n, seeds=None):
     """(seed, rank, mid, score): stored documents like each of ``seeds`` (mid), over all text fields."""
     return search.more_like_this(
-        store.read("SearchDocument"), "mid", schemas.MOVIE_TEXT, n, seeds, like_index(store))
+        store.read("SearchDocument"), "mid", schemas.MOVIE_TEXT, n, seeds, posting_index(store))
 
 
 def compute_statistics(store: TableStore, genres=schemas.DEFAULT_GENRES):

@@ -52,13 +52,6 @@ SEARCH_DOCUMENT = T.StructType(list(MOVIE.fields) + [T.StructField("tags", T.Str
 # The text fields that a movie search looks at.
 MOVIE_TEXT = ("name", "descri", "genres", "actors", "directors", "tags")
 
-# The search index of the documents: hashed words, field after field, and the words per field.
-SEARCH_TOKENS = T.StructType([
-    T.StructField("doc", T.LongType()),
-    T.StructField("tokens", T.ArrayType(T.LongType())),
-    T.StructField("sizes", T.ArrayType(T.IntegerType())),
-])
-
 # The inverted index: postings of a word of a field in one part of the documents, and the words.
 SEARCH_POSTINGS = T.StructType([
     T.StructField("field", T.IntegerType()),
@@ -104,9 +97,9 @@ TABLES = {
     "Tag": TAG,
     "User": USER,
     "SearchDocument": SEARCH_DOCUMENT,
-    "SearchTokens": SEARCH_TOKENS,
     "SearchPostings": SEARCH_POSTINGS,
     "SearchWords": SEARCH_WORDS,
+    "SearchSize": T.StructType([T.StructField("documents", T.LongType())]),
     "RateMoreMovies": T.StructType([
         T.StructField("mid", T.IntegerType()),
         T.StructField("count", T.LongType()),

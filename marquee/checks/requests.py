@@ -111,7 +111,7 @@ def _sources(spark, folder):
     likes = jobs.movies_like(document_store(spark, folder), N, requests.select("mid"))
     return (
         requests,
-        written(similarity.neighbour_lists(vector_index(spark, folder), 20), "movie-recs"),
+        written(similarity.neighbour_lists(vector_index(spark, folder, keep=21), 20), "movie-recs"),
         written(gather_recs(likes, "seed").withColumnRenamed("seed", "mid"), "like-recs"),
         written(user_recs(spark, folder, ratings, index), "stream-recs"),
     )

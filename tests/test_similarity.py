@@ -64,6 +64,30 @@ def test_visits_skip_far_homes(spark):
     assert similarity._visits(homed, pivots, reach).count() == 0
 
 
+def test_visits_name_homes_and_not_vectors(spark):
+    rng = np.random.default_rng(4)
+    pivots = np.eye(4)
+    vectors = [(i, (v / np.linalg.norm(v)).tolist()) for i, v in enumerate(rng.normal(size=(400, 4)))]
+    homed = similarity._nearest(spark.createDataFrame(vectors, "pid int, vec array<double>").coalesce(1), pivots)
+    got = similarity._visits(homed, pivots, np.full(4, np.pi))
+    assert got.columns == ["home", "grp"]
+    assert sorted(map(tuple, got.collect())) == [(a, b) for a in range(4) for b in range(a + 1, 4)]
+
+
+@pytest.mark.parametrize("block_rows, held", [(8, 10), (40, 1 << 21)])
+def test_kept_pairs_are_the_first_of_all(frame, monkeypatch, block_rows, held):
+    monkeypatch.setattr(similarity, "HELD_PAIRS", held)
+    vectors = clustered(5, 150, copies=20)
+    # Several partners of one score, and items beside each other in more than one tile.
+    vectors.update({1000 + i: (2 * np.array(vectors[i % 3])).tolist() for i in range(9)})
+    items = frame(list(vectors.items()), "mid int, vec array<double>")
+    whole = similarity.similar_vectors(items, 0.6, block_rows)
+    some = similarity.similar_vectors(items, 0.6, block_rows, keep=6)
+    listed = lambda index: {r.mid: [tuple(x) for x in r.recs] for r in similarity.neighbour_lists(index, 5).collect()}
+    assert listed(some) == listed(whole)
+    assert some.pairs.count() < whole.pairs.count()
+
+
 WORDS = ["action", "drama", "war", "comedy", "crime", "music", "tv", "western"]
 
 

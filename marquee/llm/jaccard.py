@@ -6,8 +6,9 @@ overlap that a link needs has no partner in the group, so only groups that reach
 
 Groups come from min-hashes. Sets that meet a leader of their band, and are verified to link with it, form
 cores; whoever is linked with a core's set belongs to its component, so sets of one core are never
-compared with each other, and a group of copies costs as much as its size. The other sets are grouped by
-their first band, linked or not. Cores and groups are opened in blocks of bounded size. The matrix holds the
+compared with each other, and a group of copies costs as much as its size. The other sets are grouped, linked or
+not, by the most frequent token that they have in the matrix if the sample holds it often, so that the many sets of
+such a token are few groups, and else by their first band. Cores and groups are opened in blocks of bounded size. The matrix holds the
 rarest tokens of each set only: of n tokens with an overlap of c needed, the n - c + 1 rarest share one
 with every partner. How rare a token is comes from a sample, which decides the order and hence the cost but
 no result, as any fixed order of tokens is right. Before the tokens of a block are fetched, parity sketches of
@@ -31,6 +32,8 @@ BLOCK_TOKENS = 1 << 20
 SAMPLE = 16
 CELL_BITS = 22
 SEEN_TWICE = 3
+# Tokens of 2 ** HOT texts of the sample make groups of their own.
+HOT = 4
 BANDS = 4
 
 FOLD = np.arange(256, dtype=np.uint8)
@@ -83,6 +86,24 @@ class Sets:
     def per_set(self, reduce, values):
         return reduce.reduceat(values, self.first[:-1][self.filled])
 
+    def rarest(self, levels, percent):
+        """Places of the tokens of which a set needs one to have a link, rarest first, and their levels."""
+        level = levels.value[(self.tokens >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
+        order = np.argsort(self.owner * 64 + level, kind="stable")
+        place = np.arange(len(order)) - self.first[self.owner]
+        at = order[place <= (self.n - _needed(self.n, percent))[self.owner]]
+        return at, level[at]
+
+    def homes(self, levels, percent, bands):
+        """Per text its least one of the most frequent of these tokens, or its band if none is frequent."""
+        at, level = self.rarest(levels, percent)
+        at, level = at[level >= HOT], level[level >= HOT].astype(np.int64)
+        order = np.lexsort((self.tokens[at], -level, self.owner[at]))
+        owner, first = np.unique(self.owner[at][order], return_index=True)
+        out = bands.copy()
+        out[owner] = self.tokens[at[order[first]]]
+        return out
+
     def fresh(self, seen):
         """Texts with a set that the task has not met before."""
         out = []
@@ -94,7 +115,7 @@ class Sets:
         return np.array(out, np.int64)
 
 
-def _info(shingle):
+def _info(shingle, percent, levels):
     def run(batches):
         for batch in slices(batches):
             sets = Sets(batch.column("text"), shingle)
@@ -107,7 +128,8 @@ def _info(shingle):
             yield pa.RecordBatch.from_arrays([
                 *[batch.column(c) for c in names], _longs(sets.key), pa.array(sets.n), pa.array(sets.sketches(), pa.binary()),
                 pa.ListArray.from_arrays(np.arange(0, bands.size + 1, BANDS, dtype=np.int32), _longs(bands.T.ravel())),
-            ], names=[*names, "s", "n", "sketch", "bands"])
+                _longs(sets.homes(levels, percent, bands[0])),
+            ], names=[*names, "s", "n", "sketch", "bands", "home"])
 
     return run
 
@@ -130,15 +152,13 @@ def _prefixes(shingle, percent, levels):
         seen = set()
         for batch in slices(batches):
             sets = Sets(batch.column("text"), shingle)
-            level = levels.value[(sets.tokens >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
-            order = np.argsort(sets.owner * 64 + level, kind="stable")
-            place = np.arange(len(order)) - sets.first[sets.owner]
+            at, _ = sets.rarest(levels, percent)
             chosen = np.zeros(len(sets.n), bool)
             chosen[sets.fresh(seen)] = True
-            keep = chosen[sets.owner] & (place <= (sets.n - _needed(sets.n, percent))[sets.owner])
-            owner = sets.owner[keep]
+            at = at[chosen[sets.owner[at]]]
+            owner = sets.owner[at]
             yield pa.RecordBatch.from_arrays(
-                [_longs(sets.tokens[order[keep]]), _longs(sets.key[owner]), pa.array(sets.n[owner])], names=["token", "s", "n"])
+                [_longs(sets.tokens[at]), _longs(sets.key[owner]), pa.array(sets.n[owner])], names=["token", "s", "n"])
 
     return run
 
@@ -272,9 +292,8 @@ def _leader_links(sets, documents, shingle, percent):
     return _open(written(asking.unionByName(leading), "visits"), documents, sets, shingle, percent)
 
 
-def _matrix_links(sets, cores, documents, shingle, percent, sample):
+def _matrix_links(sets, cores, documents, shingle, percent, levels):
     """Verified links between sets of different groups, and between sets without a core."""
-    levels = _token_levels(documents, shingle, sample)
     prefixes = documents.select("text").mapInArrow(_prefixes(shingle, percent, levels), "token long, s long, n long")
     of_token = W.partitionBy("token")
     shared = (
@@ -284,8 +303,8 @@ def _matrix_links(sets, cores, documents, shingle, percent, sample):
     size = written(cores.groupBy("root").agg(F.count("*").alias("size")), "core-sizes")
     placed = written(
         sets.join(cores, sets["s"] == cores["node"], "left").join(size, "root", "left")
-        .select("s", "n", F.get("bands", F.lit(0)).alias("home"), "root", "size"), "placed")
-    # c: a core, or the sets that have none and one first band.
+        .select("s", "n", "home", "root", "size"), "placed")
+    # c: a core, or the sets that have none and one home.
     alone = F.col("size").isNull()
     placed = placed.select("s", "n", alone.alias("alone"), F.coalesce("size", F.lit(0)).alias("size"),
                            F.struct(alone.alias("alone"), F.coalesce("root", "home").alias("id")).alias("c"))
@@ -327,16 +346,17 @@ def groups(documents: DataFrame, shingle=5, percent=80, sample=SAMPLE) -> DataFr
     keyed = documents.select("text", F.xxhash64("text").alias("u1"), F.hash("text").alias("u2"))
     others = [F.col(f"`{f.name}`").alias(f"_{i}") for i, f in enumerate(rest)]
     schema = ", ".join([f"_{i} {f.dataType.simpleString()}" for i, f in enumerate(rest)]
-                       + ["_id long, u1 long, u2 int, s long, n long, sketch binary, bands array<long>"])
+                       + ["_id long, u1 long, u2 int, s long, n long, sketch binary, bands array<long>, home long"])
     rows = documents.select("text", *others, F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("u1"), F.hash("text").alias("u2"))
-    info = written(rows.mapInArrow(_info(shingle), schema), "info")
+    levels = _token_levels(keyed, shingle, sample)
+    info = written(rows.mapInArrow(_info(shingle, percent, levels), schema), "info")
     sets = written(info.filter("n > 0").groupBy("s").agg(
-        F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"),
+        F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"), F.first("home").alias("home"),
         F.min(F.struct("u1", "u2")).alias("at"), F.min("_id").alias("least_id")), "sets")
 
     links = _leader_links(sets, keyed, shingle, percent)
     cores = written(components(links), "cores")
-    more = _matrix_links(sets, cores, keyed, shingle, percent, sample)
+    more = _matrix_links(sets, cores, keyed, shingle, percent, levels)
     roots = written(components(written(links.unionByName(more), "all-links")), "roots")
     rooted = written(sets.join(roots, sets["s"] == roots["node"], "left").select(
         "s", "least_id", F.coalesce("root", "s").alias("root")), "rooted")

@@ -96,3 +96,21 @@ def test_empty_and_clashing_names(spark, empty, docs):  # noqa: F811
     out = jaccard.groups(clash)
     assert out.columns == ["doc_id", "lang", "source", "n_chars", "s", "n", "u1", "n_shingles", "component_id"]
     assert out.filter("s = 'a' AND n = 1.5 AND u1").count() == docs.count()
+
+
+def test_sets_of_a_frequent_token_ask_few_groups(spark, monkeypatch):
+    """Texts of one passage with a word of their own: close, but not linked, and all share a token of the matrix."""
+    asked = {}
+    write = jaccard.written
+
+    def counting(df, label):
+        out = write(df, label)
+        asked[label] = asked.get(label, 0) + (out.count() if label == "asking" else 0)
+        return out
+
+    monkeypatch.setattr(jaccard, "written", counting)
+    common = [f"word{i}" for i in range(9)]
+    texts = [(i, " ".join([f"own{i}", *common])) for i in range(400)]
+    found = jaccard.groups(spark.createDataFrame(texts, "doc_id long, text string"), sample=1).collect()
+    assert all(r.component_id == r.doc_id and r.n_shingles == 6 for r in found)
+    assert asked["asking"] <= 400

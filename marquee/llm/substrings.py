@@ -23,6 +23,8 @@ ANCHOR = "u1 long, u2 int, a int, n int, key long, ctx long"
 WINDOW = "u1 long, u2 int, a int, h long, settled boolean"
 PARSED = "u1 long, u2 int, n_words long, n_removed long, kept string"
 SHINGLE = 8
+# Text that a task works on at once; idle Python workers of an executor keep what they took for it.
+SLICE_BYTES = 1 << 18
 
 
 def _signed(x):
@@ -64,7 +66,7 @@ def _blocks(hashes, first, window):
 
 def _anchors(window):
     def run(batches):
-        for batch in slices(batches):
+        for batch in slices(batches, most=SLICE_BYTES):
             texts = Texts(batch.column("text"))
             hashes = texts.word_hashes()
             own, start, count, anchor = _blocks(hashes, texts.first, window)
@@ -95,7 +97,7 @@ def _windows(window):
     """Hashes of the windows of the blocks that ``spans`` lists."""
 
     def run(batches):
-        for batch in slices(batches):
+        for batch in slices(batches, most=SLICE_BYTES):
             texts = Texts(batch.column("text"))
             words = Hasher(texts.word_hashes(), WORDS)
             spans, counts = _flat(batch.column("spans"))
@@ -115,7 +117,7 @@ def _windows(window):
 
 def _parse(window, with_text):
     def run(batches):
-        for batch in slices(batches):
+        for batch in slices(batches, most=SLICE_BYTES):
             texts = Texts(batch.column("text"))
             spans, counts = _flat(batch.column("spans"))
             own = np.repeat(np.arange(batch.num_rows), counts)

@@ -32,7 +32,7 @@ class Powers:
 
     def upto(self, n):
         if len(self.up) < n:
-            size = max(n, 2 * CHUNK_BYTES)
+            size = max(n, 2 * len(self.up))
             self.up, self.down = (self._run(b, size) for b in (self.base, self.inverse))
         return self.up[:n], self.down[:n]
 

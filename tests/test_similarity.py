@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from marquee.checks import similar
 from marquee.operators import content, similarity
 
 
@@ -193,3 +194,28 @@ def test_ties_fetch_no_more_than_asked(frame):
     assert [r.candidate for r in found.orderBy("rank").collect()] == [1, 4, 5, 6, 7]
     lists = similarity.neighbour_lists(index, n, frame([(0,)], "mid int")).collect()
     assert [r.mid for r in lists[0].recs] == [1, 2, 3, 4, 5] and len(lists) == 1
+
+
+def test_long_lists_of_copies_are_dealt_over_tasks(spark, monkeypatch):
+    # Spark sizes tasks by bytes; without a bound on rows, one task spread the lists of all these items.
+    movies = spark.createDataFrame(
+        [(i, "A|B" if i < 300 else "A|B|C" if i < 400 else "D") for i in range(420)] + [(7, "A|B")], "mid int, genres string")
+    index = content.similar_by_content(movies)
+    lists = lambda: similarity.neighbour_lists(index, 15)
+    whole = sorted(map(str, lists().collect()))
+    monkeypatch.setattr(similarity, "TASK_ENTRIES", 16 * 20, raising=False)
+    dealt = lists()
+    assert sorted(map(str, dealt.collect())) == whole
+    sizes = dealt.groupBy(F.spark_partition_id()).count().collect()
+    assert len(whole) == 421 and len(sizes) > 5 and max(r["count"] for r in sizes) < 200
+
+
+def test_unseen_candidates_count_ratings_in_bounded_tasks(spark, monkeypatch):
+    folder = "/root/testdata/sf0.001"
+    whole = sorted(map(str, similar.unseen_candidates(spark, folder).collect()))
+    monkeypatch.setattr(similar, "TASK_RATINGS", 500, raising=False)
+    found = similar.unseen_candidates(spark, folder)
+    assert sorted(map(str, found.collect())) == whole
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    rows = similar.stored_ratings(spark, folder).count()
+    assert f", {-(-rows // 500)}), REPARTITION_BY_NUM" in plan

@@ -17,6 +17,8 @@ from marquee.llm.textbytes import slices
 from marquee.session import written
 
 BITS = 64
+# Edges that a task turns into stars at once.
+STRETCH = 1 << 20
 
 
 def _fingerprint(text, shingle, seed):
@@ -91,29 +93,69 @@ def near_pairs(prints: DataFrame, distance=3, segments=2) -> DataFrame:
     ).distinct()
 
 
+def _stars(u, v):
+    """Each node that is not the least one of its component, and the least one."""
+    nodes, ends = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = np.split(ends, 2)
+    own = np.arange(len(nodes))
+    root, moved = own, True
+    while moved:
+        low = np.minimum(root[a], root[b])
+        hung = root.copy()
+        np.minimum.at(hung, root[a], low)
+        np.minimum.at(hung, root[b], low)
+        while (hung[hung] != hung).any():
+            hung = hung[hung]
+        root, moved = hung, (hung != root).any()
+    hanging = np.flatnonzero(root != own)
+    return nodes[hanging], nodes[root[hanging]]
+
+
+def _contracted(batches):
+    """The edges of a task as stars, in stretches of at most about ``STRETCH`` edges."""
+    u, v = (np.zeros(0, np.int64),) * 2
+    for batch in batches:
+        u, v = (np.append(x, batch.column(c).to_numpy()) for x, c in ((u, "u"), (v, "v")))
+        if len(u) >= STRETCH:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _stars(u, v)], names=["u", "v"])
+            u, v = (np.zeros(0, np.int64),) * 2
+    if len(u):
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in _stars(u, v)], names=["u", "v"])
+
+
 def components(pairs: DataFrame) -> DataFrame:
-    """(``node``, ``root``): the least node of each connected component of the pairs.
+    """(``node``, ``root``): the least node of each connected component of the pairs of longs.
 
-    Large-star and small-star rounds in turn: every round hangs nodes on smaller neighbours, and
-    the edges shrink to stars. Each round is a written table. A hot node's edges are reduced by a
-    ``min`` with map-side sums and a join, never gathered into a list; the sums are written first,
-    because Spark splits a hot key of a join only where both sides come straight from a shuffle.
+    Every task turns the edges it works on into stars, which loses no connection. Where stars of several tasks
+    meet, the least parent of a node gives way to its own parent, twice in a round, and what stands above
+    another parent is tied to what stands above the least one, until all edges are one set of stars. Edges never become more, and each round writes two
+    tables. A hot parent's children are never gathered into a list; the parents are written before they
+    are joined, because Spark splits a hot key of a join only where both sides come straight from a shuffle.
     """
-    edges = written(pairs.select(F.col("high").alias("u"), F.col("low").alias("v")), "edges")
+    edge = "u long, v long"
+    edges = written(pairs.select(F.col("high").cast("long").alias("u"), F.col("low").cast("long").alias("v")), "edges")
+    edges = written(edges.mapInArrow(_contracted, edge), "stars")
     while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(written(least, "least"), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = written(large.filter("u <> v").distinct(), "large")
-        down = written(large.groupBy("u").agg(F.min("v").alias("m")), "down")
-        small = large.join(down, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = written(small.unionByName(down.select("u", F.col("m").alias("v"))).distinct(), "small")
-        # Stars: nobody has two parents and no parent has a parent.
-        parents = small.groupBy("u").agg(F.count("*").alias("n"))
-        open_ends = small.join(parents.select(F.col("u").alias("v")), "v", "left_semi").select("u")
-        if parents.filter("n > 1").select("u").unionByName(open_ends).isEmpty():
-            return small.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        edges = small
+        parents = written(edges.groupBy("u").agg(F.min("v").alias("v"), F.max("v").alias("most")), "parents")
+        above = parents.select(F.col("u").alias("v"), F.col("v").alias("m"))
+        # Done if nobody has two parents and no parent has a parent.
+        if parents.filter("v <> most").select("u").unionByName(parents.join(above, "v", "left_semi").select("u")).isEmpty():
+            return parents.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        lifted = lambda rows, end: rows.join(above.toDF(end, "above"), end, "left").withColumn(
+            end, F.coalesce("above", end)).drop("above")
+        raised = lifted(lifted(parents.select("u", "v"), "v"), "v").select("u", "v")
+        least = parents.filter("v <> most").select("u", F.col("v").alias("m"))
+        others = lifted(lifted(edges.join(least, "u").filter("v <> m").select("v", "m"), "v"), "m")
+        others = others.filter("v <> m").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
+        edges = written(raised.unionByName(others).mapInArrow(_contracted, edge), "stars")
+
+
+def _rooted(prints: DataFrame, least, distance) -> DataFrame:
+    """(``print``, ``least``, ``root``) of each distinct fingerprint; ``least`` is an aggregate of its rows."""
+    nodes = written(prints.groupBy("print").agg(least.alias("least")), "nodes")
+    roots = components(near_pairs(nodes.select("print"), distance))
+    return nodes.join(roots, nodes["print"] == roots["node"], "left").select(
+        "print", "least", F.coalesce("root", "print").alias("root"))
 
 
 def groups(documents: DataFrame, shingle=3, distance=3) -> DataFrame:
@@ -126,12 +168,8 @@ def groups(documents: DataFrame, shingle=3, distance=3) -> DataFrame:
     Empty and null texts have fingerprint 0 and link like any other.
     """
     prints = written(fingerprints(documents.drop("component_id", "root"), shingle), "prints")
-    nodes = written(prints.groupBy("print").agg(F.min("doc_id").alias("least_id")), "nodes")
-    roots = components(near_pairs(nodes.select("print"), distance))
-    rooted = written(nodes.join(roots, nodes["print"] == roots["node"], "left").select(
-        "print", "least_id", F.coalesce("root", "print").alias("root")
-    ), "rooted")
-    named = written(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")), "named")
+    rooted = written(_rooted(prints, F.min("doc_id"), distance), "rooted")
+    named = written(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "named")
     member = written(rooted.join(named, "root").select("print", "root", "component_id"), "member")
     return prints.join(member, "print")
 
@@ -144,9 +182,9 @@ def keep_one(documents: DataFrame, shingle=3, distance=3) -> DataFrame:
     """
     columns = documents.columns
     keyed = documents.withColumns({"u1": F.xxhash64("doc_id", "text"), "u2": F.hash("doc_id", "text")})
-    found = groups(keyed.select("doc_id", "text", "u1", "u2"), shingle, distance)
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "u1", "u2")).alias("first")
-    kept = written(found.groupBy("root").agg(first).select("first.u1", "first.u2"), "kept")
+    prints = fingerprints(keyed.select("doc_id", "text", "u1", "u2"), shingle)
+    rooted = _rooted(prints, F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "u1", "u2")), distance)
+    kept = written(rooted.groupBy("root").agg(F.min("least").alias("first")).select("first.u1", "first.u2"), "kept")
     rows = keyed.join(kept, ["u1", "u2"], "left_semi").groupBy("u1", "u2").agg(
         F.min(F.struct("doc_id", "text", *[c for c in columns if c not in ("doc_id", "text")])).alias("row"))
     return rows.select("row.*").select(*columns)

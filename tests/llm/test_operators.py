@@ -152,6 +152,39 @@ def test_components_of_long_chains_and_stars(spark):
     assert found == {**{i: 0 for i in range(1, 41)}, **{i: 100 for i in range(101, 160)}, 301: 300}
 
 
+def test_components_write_few_tables(spark, monkeypatch):
+    pick = random.Random(5)
+    pairs = [(n, pick.randrange(max(0, n - 9), n)) for n in range(1, 3000) if pick.random() < 0.99]
+    pairs += [tuple(sorted(pick.sample(range(5000, 6000), 2), reverse=True)) for _ in range(900)]
+    names = [pick.getrandbits(64) - (1 << 63) for _ in range(6000)]
+    root = {names[n]: names[n] for n in range(6000)}
+
+    def top(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    edges = [(min(names[a], names[b]), max(names[a], names[b])) for a, b in pairs]
+    for low, high in edges:
+        first, second = sorted((top(low), top(high)))
+        root[second] = first
+    labels, write = [], simhash.written
+    monkeypatch.setattr(simhash, "written", lambda df, label: labels.append(label) or write(df, label))
+    frame = spark.createDataFrame(edges, "low long, high long").repartition(8)
+    rows = simhash.components(frame).collect()
+    assert len(rows) == len({r.node for r in rows})
+    assert {r.node: r.root for r in rows} == {n: top(n) for n in root if top(n) != n}
+    assert len(labels) <= 16
+
+
+def test_stars_of_a_stretch():
+    u, v = simhash._stars(np.array([5, 9, 4, 8, -2]), np.array([4, 8, 3, 5, -7]))
+    assert dict(zip(u.tolist(), v.tolist())) == {4: 3, 5: 3, 8: 3, 9: 3, -2: -7}
+    batches = [pa.RecordBatch.from_pydict({"u": [i + 1], "v": [i]}) for i in range(6)]
+    assert [b.to_pydict() for b in simhash._contracted(batches)] == [{"u": [1, 2, 3, 4, 5, 6], "v": [0] * 6}]
+    assert not list(simhash._contracted([]))
+
+
 def test_base_rules(docs, empty):
     def base(text):
         w, t = words(text), text or ""

@@ -24,7 +24,9 @@ def upsert_ratings(ratings: DataFrame, updates: DataFrame) -> DataFrame:
     changed = ratings.join(
         last.select(*keys, F.col("score").alias("new_score")), keys, "left"
     ).select(*keys, F.coalesce("new_score", "score").alias("score"), "timestamp")
-    inserted = last.join(ratings.select(*keys).distinct(), keys, "left_anti")
+    # Only keys of the updates are made distinct, so a small batch needs no shuffle of the table.
+    known = ratings.select(*keys).join(last.select(*keys), keys, "left_semi").distinct()
+    inserted = last.join(known, keys, "left_anti")
     return changed.unionByName(inserted.select(*changed.columns))
 
 

@@ -1,6 +1,7 @@
 """The real-time job: every micro-batch of ratings refreshes the lists of its users."""
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marquee import schemas
@@ -103,11 +104,21 @@ class LiveLists:
         wanted = (buckets,) if self.load_buckets else ()
         stored = of_users(self.load_ratings(*wanted).select(*schemas.RATING.names))
         if self.load_clicks is not None:
-            clicks = of_users(self.load_clicks(*wanted)).select("uid", "mid", F.col("timestamp").alias("clicked"))
-            clicked = stored.join(clicks, ["uid", "mid"]).withColumn("timestamp", F.col("clicked"))
-            stored = stored.join(clicks, ["uid", "mid"], "left_anti").unionByName(once(clicked))
+            clicks = of_users(self.load_clicks(*wanted)).select(
+                "uid", "mid", F.col("timestamp").alias("clicked"), F.lit(True).alias("hit"))
+            # One left join and no union: the ratings, the largest table, are read once. What was clicked is cut as in ``once``.
+            place = F.row_number().over(W.partitionBy(*EVENT, "hit").orderBy(F.desc("score")))
+            stored = stored.join(clicks, ["uid", "mid"], "left").withColumn(
+                "timestamp", F.when(F.col("hit"), F.col("clicked")).otherwise(F.col("timestamp"))
+            ).withColumn("place", place).filter(F.col("hit").isNull() | (F.col("place") == 1)).select(*schemas.RATING.names)
         return rows.unionByName(stored.join(rows, EVENT, "left_anti"))
 
+    def _held(self, rows, name, batch_id):
+        """``rows`` as a table of this batch, which has the files that its rows need whatever the tasks that made it."""
+        path = f"{self.root}/held/{name}-{batch_id}"
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     def __call__(self, ratings: DataFrame, batch_id: int):
         """Handler for ``foreachBatch``: the batch joins the history before lists are computed."""
         if batch_id and batch_id % self.compact_every == 0:
@@ -118,17 +129,19 @@ class LiveLists:
         batch = self.spark.read.schema(HISTORY).parquet(mine)
         # At most ``buckets`` numbers.
         touched = [r["bucket"] for r in batch.select("bucket").distinct().collect()]
-        events = last_events(batch)
-        # Read from the history once and used three times; lost blocks are read again.
-        known = self.history(batch_id, touched, events.select("uid")).persist()
         try:
+            # Of known size: Spark need not shuffle the stored ratings to find those of a small batch.
+            events = self._held(last_events(batch), "events", batch_id)
+            # Read from the history once and used three times.
+            known = self._held(self.history(batch_id, touched, events.select("uid")), "known", batch_id)
             lists = live_lists(
                 self.load_index(), events, known.select("uid", "mid"),
                 recent_ratings(known, HISTORY_READ), self.mode,
             )
             lists.write.mode("overwrite").parquet(f"{self.lists_path}/batch_id={batch_id}")
         finally:
-            known.unpersist()
+            for name in ("events", "known"):
+                self.merged.remove(f"{self.root}/held/{name}-{batch_id}")
 
     def latest(self) -> DataFrame:
         """(uid, recs): the newest list of each user."""

@@ -96,6 +96,32 @@ def test_an_ingested_click_counts_once(spark, tmp_path, frame):
     assert rows(store.read("RatingClicks")) == [(1, 10, 7000), (1, 30, 6000)]
 
 
+def test_a_batch_reads_the_stored_ratings_once(spark, tmp_path, frame):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    # Rows that repeat stay, of repeated clicked ones the greatest score; nothing is equal to a null.
+    stored = frame([(1, 2, 4.0, 0), (1, 2, 4.0, 0), (1, 3, 1.0, 5), (1, 3, 2.0, 6), (1, 4, None, 7), (1, 5, 3.0, None),
+                    (1, None, 3.0, 8), (None, 3, 3.0, 9), (2, 3, 5.0, 9), (1, 6, 1.0, 20)], RATING)
+    clicks = frame([(1, 3, 50), (1, 3, 60), (1, 4, 70), (1, 6, 20), (1, None, 80), (None, 3, 90), (2, 3, None)], "uid int, mid int, timestamp int")
+    handler = LiveLists(spark, str(tmp_path), lambda: small_index(frame), lambda: stored.mapInArrow(counted, RATING),
+                        load_clicks=lambda: clicks)
+    handler(frame([(1, 1, 5.0, 100), (1, 6, 4.0, 20)], RATING), 0)
+    assert read.value == stored.count()
+    assert not list((tmp_path / "held").glob("*"))
+    order = lambda r: [(v is None, v or 0) for v in r]
+    of_one = [(1, 1, 5.0, 100), (1, 2, 4.0, 0), (1, 2, 4.0, 0), (1, 3, 2.0, 50), (1, 3, 2.0, 60), (1, 4, None, 70),
+              (1, 5, 3.0, None), (1, 6, 4.0, 20), (1, None, 3.0, 8)]
+    known = handler.history(users=frame([(1,)], "uid int"))
+    assert sorted(map(tuple, known.collect()), key=order) == sorted(of_one, key=order)
+    everyone = [*of_one, (None, 3, 3.0, 9), (2, 3, 5.0, None)]
+    assert sorted(map(tuple, handler.history().collect()), key=order) == sorted(everyone, key=order)
+
+
 def test_history_state_is_bounded_and_equals_batch(spark, tmp_path, frame):
     ratings = [(1, i, 3.0, 100 + i) for i in range(45)] + [(1, 44, 1.0, 500), (2, 7, 4.0, 5)]
     logs, out = tmp_path / "logs", tmp_path / "out"

@@ -219,3 +219,23 @@ def test_unseen_candidates_count_ratings_in_bounded_tasks(spark, monkeypatch):
     plan = found._jdf.queryExecution().executedPlan().toString()
     rows = similar.stored_ratings(spark, folder).count()
     assert f", {-(-rows // 500)}), REPARTITION_BY_NUM" in plan
+
+
+def test_pairs_are_not_shuffled_for_the_sizes_of_profiles(frame):
+    """All pairs were joined with the sizes, and the whole result lay on disk for it."""
+    items = frame([(i, [1.0, 0.01 * (i // 2), 0.5]) for i in range(60)], "mid int, vec array<double>")
+    pairs = similarity.similar_vectors(items, 0.6, 7).pairs
+    assert {r["size"] for r in pairs.collect()} == {2}
+    plan = pairs.filter("pid != other").select("pid", "other", "score")._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[:plan.index("FlatMapGroupsInArrow")]
+    assert "Join" not in above and "Window" not in above
+
+
+def test_unit_vectors_compute_a_length_once(frame):
+    rows = frame([(1, [3.0, 4.0]), (2, [0.0, 0.0]), (3, None), (4, [1.0, None]), (5, [])], "pid int, vec array<double>")
+    unit = similarity.unit_vectors(rows)
+    assert [(r.pid, r.vec) for r in unit.collect()] == [(1, [3.0 / 5.0, 4.0 / 5.0])]
+    plan = unit._jdf.queryExecution().optimizedPlan().toString()
+    # Not inside the function of an element, where it stood.
+    element = plan.split("zip_with")[1].split("lambdafunction(")[-1]
+    assert "aggregate" not in element and "SQRT" not in element
